@@ -41,7 +41,7 @@ from tidemark.operators.posts import (
     with_state,
 )
 from tidemark.plans import snapshots as plans
-from tidemark.session import RUNTIME_SETTINGS, shared_dir
+from tidemark.session import tune
 from tidemark.sources import readers, sinks
 from tidemark.streaming.snapshots import stream_snapshots
 from tidemark.vocab import VOCAB_A, VOCAB_B
@@ -62,20 +62,14 @@ def _query(fn: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFram
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            for key, value in RUNTIME_SETTINGS.items():
-                spark.conf.set(key, value)
-            return fn(Fixtures(spark, sf_dir))
+            tune(spark)
+            return fn(Fixtures.of(spark, sf_dir))
 
         return run
 
     return {name: bind(fn) for name, fn in _QUERIES.items()}
 
 
-def _scratch(f: Fixtures) -> str:
-    """A fresh folder in the shared location."""
-    return f"{shared_dir(f.spark)}/tidemark-{uuid.uuid4().hex}"
-
-
 def _recent(f: Fixtures) -> DataFrame:
     return f.events.filter(on_dates(BOUNDS.first_date, BOUNDS.last_date))
 
@@ -428,22 +422,22 @@ def outcome_7d(f):
 
 @_query
 def label_distribution(f):
-    return quality.label_distribution(_labels(f))
+    return quality.label_distribution(f.labels())
 
 
 @_query
 def label_qa(f):
-    return quality.label_qa(_labels(f))
+    return quality.label_qa(f.labels())
 
 
 @_query
 def label_freshness(f):
-    return quality.label_freshness(_labels(f))
+    return quality.label_freshness(f.labels())
 
 
 @_query
 def conversion_timing(f):
-    return quality.conversion_timing(_labels(f), f.events, TODAY)
+    return quality.conversion_timing(f.labels(), f.events, TODAY)
 
 
 @_query
@@ -491,7 +485,7 @@ def run_summary(f):
 
 @_query
 def stream_snapshot(f):
-    folder = _scratch(f)
+    folder = f.scratch()
     raw = f.spark.readStream.schema(f.raw("events").schema).parquet(f"{f.sf_dir}/events*.parquet")
     seen = f.events_from(raw).filter(F.col("event_time") < RUN_TS)
     writer = stream_snapshots(
@@ -538,7 +532,7 @@ def serving_context(f):
 
 
 def _training(f):
-    return training.training_data(_labels(f), f.series, f.features, START, END)
+    return training.training_data(f.labels(), f.series, f.features, START, END)
 
 
 @_query
@@ -549,7 +543,7 @@ def training_data(f):
 @_query
 def training_data_lagged_features(f):
     return training.training_data(
-        _labels(f, "7d"), f.series, f.features, START, END, feature_lag_days=1
+        f.labels("7d"), f.series, f.features, START, END, feature_lag_days=1
     )
 
 
@@ -560,12 +554,12 @@ def dataset_stats(f):
 
 @_query
 def class_weights(f):
-    return training.balance(_labels(f))
+    return training.balance(f.labels())
 
 
 @_query
 def stratified_sample(f):
-    return training.balance(_labels(f), "sample", {0: 0.5, 1: 1.0, 2: 1.0})
+    return training.balance(f.labels(), "sample", {0: 0.5, 1: 1.0, 2: 1.0})
 
 
 # Tables written and read back
@@ -573,22 +567,21 @@ def stratified_sample(f):
 
 @_query
 def roundtrip_event_log(f):
-    base = _scratch(f)
-    f.events.write.partitionBy("date").parquet(base)
+    f.events  # noqa: B018  (writes the log)
     wanted = [VOCAB_A.locked, VOCAB_A.initiate]
-    return readers.read_events(f.spark, base, START, END, wanted).drop("platform")
+    return readers.read_events(f.spark, f.path("events"), START, END, wanted).drop("platform")
 
 
 @_query
 def roundtrip_dumps(f):
-    base = _scratch(f)
-    f.dumps.write.partitionBy("event_name", "date").parquet(base)
-    return readers.read_dumps(f.spark, base, SINCE, TODAY).select("event_name", "data", "date")
+    f.dumps  # noqa: B018  (writes the dumps)
+    dumps = readers.read_dumps(f.spark, f.path("dumps"), SINCE, TODAY)
+    return dumps.select("event_name", "data", "date")
 
 
 @_query
 def roundtrip_snapshot_jsonl(f):
-    base = _scratch(f)
+    base = f.scratch()
     sinks.write_snapshot(snapshot_a_full(f), base, RUN_TS)
     sinks.write_snapshot(f.spark.createDataFrame([], schemas.SNAPSHOT), base, RUN_TS + 900_000)
     return readers.read_snapshot(f.spark, base, RUN_TS + 900_000)
@@ -596,14 +589,14 @@ def roundtrip_snapshot_jsonl(f):
 
 @_query
 def roundtrip_snapshot_ts(f):
-    base = _scratch(f)
+    base = f.scratch()
     sinks.write_snapshot(snapshot_b(f), base, RUN_TS, layout="ts")
     return readers.read_snapshot_ts(f.spark, base, RUN_TS)
 
 
 @_query
 def roundtrip_features(f):
-    base = _scratch(f)
+    base = f.scratch()
     for _ in range(2):
         sinks.write_features(creator_features_events(f), base, "creator", REF)
     return readers.features_table(f.spark, base, "creator", FEATURE_DATES[0], REF)
@@ -611,7 +604,7 @@ def roundtrip_features(f):
 
 @_query
 def roundtrip_labels(f):
-    base = _scratch(f)
+    base = f.scratch()
     for _ in range(2):
         sinks.write_labels(_labels(f), base)
     return readers.labels_table(f.spark, base, START, END)
@@ -619,21 +612,21 @@ def roundtrip_labels(f):
 
 @_query
 def roundtrip_training(f):
-    base = _scratch(f)
+    base = f.scratch()
     sinks.write_training(_training(f), base)
     return f.spark.read.parquet(base).select(*training.TRAINING_COLUMNS)
 
 
 @_query
 def roundtrip_place_map(f):
-    path = _scratch(f)
+    path = f.scratch()
     sinks.write_place_map(f.mapping, path)
     return readers.read_place_rows(f.spark, path)
 
 
 @_query
 def registered_tables(f):
-    base, name = _scratch(f), f"tidemark_{uuid.uuid4().hex}"
+    base, name = f.scratch(), f"tidemark_{uuid.uuid4().hex}"
     sinks.write_snapshot(snapshot_a_full(f), f"{base}/snapshots", RUN_TS)
     sinks.write_labels(_labels(f), f"{base}/labels")
     f.spark.sql(f"CREATE DATABASE {name} LOCATION '{base}/db'")

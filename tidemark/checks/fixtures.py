@@ -7,6 +7,7 @@ third of the events fall on one post and a third of the posts on one creator and
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +17,17 @@ from tidemark import schemas
 from tidemark.functions import age_zero, floor_div, has_post
 from tidemark.operators.asof import HOUR_MS
 from tidemark.operators.events import parse_events
+from tidemark.operators.labels import create_labels
 from tidemark.operators.posts import latest_posts, place_map, with_state
 from tidemark.plans.daily import daily_features
 from tidemark.plans.snapshots import with_rates
+from tidemark.session import shared_dir
 
 RUN_TS = 1_705_838_400_000  # 2024-01-21 12:00 UTC, 17:30 in the feed's zone
 PREV_RUN_TS = RUN_TS - 6 * HOUR_MS
 REF = "2024-01-21"
 START, END = "2024-01-08", "2024-01-21"
-FEATURE_DATES = ["2024-01-20", "2024-01-21"]
+FEATURE_DATES = ["2024-01-11", "2024-01-15", "2024-01-20", "2024-01-21"]
 SLOT_MS = 6 * HOUR_MS
 
 # Engine-specific reading of the raw event columns.
@@ -92,52 +95,42 @@ WITH d AS (
          CASE WHEN doc_id % 3 = 0 THEN 1 ELSE doc_id % 40 END AS creator,
          CASE WHEN doc_id % 3 = 0 THEN 7 ELSE doc_id % 25 END AS place
   FROM @documents
-), primary_form AS (
+), forms AS (
   SELECT doc_id, born,
-         '{"id":"p' || CAST(doc_id AS STRING) || '","created":' || CAST(created AS STRING)
-           || ',"topic":"' || source || '"'
-           || CASE WHEN doc_id % 7 = 0 THEN '' ELSE ',"subTopic":"st"' END
-           || ',"districtImportanceLevel":' || CAST(doc_id % 4 AS STRING)
-           || ',"district_score":9,"stateImportanceLevel":' || CAST(doc_id % 3 AS STRING)
-           || ',"nationalImportanceLevel":0,"isLocal":true,"is_local":false,"isReporter":'
-           || CASE WHEN doc_id % 3 = 0 THEN 'true' ELSE 'false' END
-           || ',"contentLang":"' || lang || '","creatorID":"c' || CAST(creator AS STRING)
-           || '","media":"video","duration":' || CAST(doc_id % 60 AS STRING)
-           || ',"titleLength":' || CAST(n_chars % 200 AS STRING) AS head,
-         CASE WHEN doc_id % 11 = 10 THEN '}'
-              ELSE ',"location":{"pid":"d' || CAST(place AS STRING) || '"}}' END AS tail
-  FROM d WHERE doc_id % 2 = 0
-), other_form AS (
-  SELECT doc_id, born,
-         '{"postId":"p' || CAST(doc_id AS STRING) || '","createdAt":' || CAST(created AS STRING)
-           || ',"sub_topic":"st2","district_score":' || CAST(doc_id % 4 AS STRING)
-           || ',"state_score":1,"national_score":2,"is_local":false,"is_reporter":true,"lang":"'
-           || lang || '","creator_pid":"c' || CAST(creator AS STRING)
-           || '","title":"t' || CAST(doc_id AS STRING)
-           || '","district_pid":"d' || CAST(place AS STRING) || '","topic":"' || source AS head
-  FROM d WHERE doc_id % 2 = 1
+         CASE WHEN doc_id % 2 = 0 THEN
+           '{"id":"p' || CAST(doc_id AS STRING) || '","created":' || CAST(created AS STRING)
+             || ',"topic":"' || source || '"'
+             || CASE WHEN doc_id % 7 = 0 THEN '' ELSE ',"subTopic":"st"' END
+             || ',"districtImportanceLevel":' || CAST(doc_id % 4 AS STRING)
+             || ',"district_score":9,"stateImportanceLevel":' || CAST(doc_id % 3 AS STRING)
+             || ',"nationalImportanceLevel":0,"isLocal":true,"is_local":false,"isReporter":'
+             || CASE WHEN doc_id % 3 = 0 THEN 'true' ELSE 'false' END
+             || ',"contentLang":"' || lang || '","creatorID":"c' || CAST(creator AS STRING)
+             || '","media":"video","duration":' || CAST(doc_id % 60 AS STRING)
+             || CASE WHEN doc_id % 11 = 10 THEN ''
+                     ELSE ',"location":{"pid":"d' || CAST(place AS STRING) || '"}' END
+             || ',"titleLength":' || CAST(n_chars % 200 AS STRING)
+         ELSE
+           '{"postId":"p' || CAST(doc_id AS STRING) || '","createdAt":' || CAST(created AS STRING)
+             || ',"sub_topic":"st2","district_score":' || CAST(doc_id % 4 AS STRING)
+             || ',"state_score":1,"national_score":2,"is_local":false,"is_reporter":true,"lang":"'
+             || lang || '","creator_pid":"c' || CAST(creator AS STRING)
+             || '","title":"t' || CAST(doc_id AS STRING)
+             || '","district_pid":"d' || CAST(place AS STRING) || '","topic":"' || source || '"'
+         END AS body
+  FROM d
 )
-SELECT 'post_classification_data_dump' AS event_name, head || tail AS data,
+SELECT 'post_classification_data_dump' AS event_name, body || '}' AS data,
        '2024-01-' || lpad(CAST(1 + born AS STRING), 2, '0') AS date
-FROM primary_form
-UNION ALL
-SELECT 'post_classification_data_dump', head || ',"title":"again"' || tail,
-       '2024-01-' || lpad(CAST(1 + born AS STRING), 2, '0')
-FROM primary_form WHERE doc_id % 4 = 2
-UNION ALL
-SELECT 'post_classification_data_dump', head || '"}',
-       '2024-01-' || lpad(CAST(1 + born AS STRING), 2, '0')
-FROM other_form
-UNION ALL
-SELECT 'post_classification_data_dump', head || '-later"}',
-       '2024-01-' || lpad(CAST(2 + born AS STRING), 2, '0')
-FROM other_form WHERE doc_id % 4 = 1
+FROM forms
 UNION ALL
 SELECT CASE WHEN doc_id % 50 = 5 THEN 'other_event' ELSE 'post_classification_data_dump' END,
-       CASE doc_id % 50 WHEN 3 THEN '{"id":"p' || CAST(doc_id AS STRING) || '","topic":'
-                        WHEN 4 THEN '' WHEN 5 THEN '{"id":"x"}' ELSE '{"topic":"no id"}' END,
-       '2024-01-31'
-FROM d WHERE doc_id % 50 IN (3, 4, 5, 6)"""
+       CASE WHEN doc_id % 50 = 3 THEN body || ',"open":'
+            WHEN doc_id % 50 = 4 THEN ''
+            WHEN doc_id % 50 = 6 THEN '{"topic":"no id"}'
+            ELSE body || ',"containsVisualMedia":true,"media_duration":0}' END,
+       '2024-01-' || lpad(CAST((CASE WHEN doc_id % 4 = 1 THEN 2 ELSE 1 END) + born AS STRING), 2, '0')
+FROM forms WHERE doc_id % 4 IN (1, 2) OR doc_id % 50 IN (3, 4, 5, 6)"""
 
 PLACES = """
 SELECT 's' || CAST(r_regionkey AS STRING) AS id, 'STATE' AS ty, r_name AS name,
@@ -157,15 +150,34 @@ SOURCES = ("events", "documents", "region", "nation", "supplier")
 
 
 class Fixtures:
-    """The derived tables of one data folder, built on first use."""
+    """The derived tables of one data folder.
+
+    The event log, the dumps, the snapshots, the features and the labels are tables at rest in
+    production. Here each is written once per session, on first use, to the shared folder and
+    read back by every query, so that scans see date partitions and many files.
+    """
+
+    _open: dict[tuple[str, str], Fixtures] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._home = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Fixtures:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in cls._open:
+            cls._open[key] = cls(spark, sf_dir)
+        return cls._open[key]
 
     def raw(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
+    def scratch(self) -> str:
+        """A fresh folder for one query."""
+        return f"{self._home}/{uuid.uuid4().hex}"
+
     def _sql(self, text: str, **tables: DataFrame) -> DataFrame:
         for name in sorted(tables, key=len, reverse=True):
             view = f"tidemark_fixture_{name}"
@@ -178,6 +190,18 @@ class Fixtures:
             self._built[name] = build()
         return self._built[name]
 
+    def _stored(self, name: str, build: Callable[[], DataFrame], *partitions: str) -> DataFrame:
+        def write_and_read() -> DataFrame:
+            rows, path = build(), self.path(name)
+            balanced = rows.hint("rebalance", *[F.col(p) for p in partitions])
+            balanced.write.partitionBy(*partitions).parquet(path)
+            return self.spark.read.schema(rows.schema).parquet(path)
+
+        return self._once(name, write_and_read)
+
+    def path(self, name: str) -> str:
+        return f"{self._home}/{name}"
+
     def events_from(self, raw_events: DataFrame) -> DataFrame:
         raw = self._sql(EVENTS_RAW["spark"], events=raw_events)
         keyed = self._sql(EVENTS_KEYED, events_raw=raw, documents=self.raw("documents"))
@@ -185,11 +209,12 @@ class Fixtures:
 
     @property
     def events(self) -> DataFrame:
-        return self._once("events", lambda: self.events_from(self.raw("events")))
+        return self._stored("events", lambda: self.events_from(self.raw("events")), "date")
 
     @property
     def dumps(self) -> DataFrame:
-        return self._once("dumps", lambda: self._sql(POST_DUMPS, documents=self.raw("documents")))
+        build = lambda: self._sql(POST_DUMPS, documents=self.raw("documents"))
+        return self._stored("dumps", build, "event_name", "date")
 
     @property
     def places(self) -> DataFrame:
@@ -216,18 +241,16 @@ class Fixtures:
 
     @property
     def grid(self) -> DataFrame:
-        """A snapshot of a post for every six-hour slot in which it had an event."""
-        return self._once("grid", self._grid)
-
-    def _grid(self) -> DataFrame:
-        parsed = parse_events(self.events, "post_id").filter(has_post())
-        slot = (floor_div(F.col("event_time"), SLOT_MS) * SLOT_MS).alias("run_ts")
-        return parsed.select("post_id", slot, "date").distinct()
+        """Post, run and date of the snapshots."""
+        return self.series.select("post_id", "run_ts", "date")
 
     @property
     def series(self) -> DataFrame:
-        """Full 34-column snapshots on the grid, counting the events of each slot."""
-        return self._once("series", self._series)
+        """A snapshot of a post for every six-hour slot in which it had an event.
+
+        All 34 columns, counting the events of the slot.
+        """
+        return self._stored("series", self._series, "date")
 
     def _series(self) -> DataFrame:
         name = F.col("event_name")
@@ -260,10 +283,20 @@ class Fixtures:
 
     @property
     def features(self) -> dict[str, DataFrame]:
-        """Daily feature tables of a few dates, stacked."""
-        tables: dict[str, DataFrame] = {}
-        for ref in FEATURE_DATES:
-            for kind, table in daily_features(self.posts, self.events, self.mapping, ref).items():
-                dated = table.withColumn("date", F.lit(ref))
-                tables[kind] = tables[kind].unionByName(dated) if kind in tables else dated
-        return tables
+        """The daily feature tables of the reference date, under several dates."""
+        built: dict[str, DataFrame] = {}
+
+        def table(kind: str) -> DataFrame:
+            if not built:
+                built.update(daily_features(self.posts, self.events, self.mapping, REF))
+            dates = F.explode(F.array(*[F.lit(d) for d in FEATURE_DATES])).alias("date")
+            return built[kind].select("*", dates)
+
+        return {
+            kind: self._stored(kind, lambda kind=kind: table(kind), "date")
+            for kind in schemas.FEATURES
+        }
+
+    def labels(self, window: str = "same_day") -> DataFrame:
+        build = lambda: create_labels(self.events, self.grid, START, END, window)
+        return self._stored(f"labels_{window}", build, "date")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,41 +12,33 @@ from tidemark.skew import salted_lookup
 HOUR_MS = 3_600_000
 
 
-def run_calendar(snapshots: DataFrame, bucket_ms: int) -> tuple[DataFrame, DataFrame]:
+def run_calendar(snapshots: DataFrame, bucket_ms: int, final: Column) -> DataFrame:
     """Per post and time bucket: the runs inside it and the last run before it.
 
-    Buckets between two runs are filled in, up to one bucket past the last run of the whole
-    table, which stands for all later time. Rows per post are bounded by the buckets of the
-    period and runs per row by the runs a bucket can hold; neither grows with the views.
-    Returns the calendar and the one-row table of that final bucket.
+    Buckets between two runs are filled in, up to bucket ``final``, which lies past every run
+    and stands for all later time. Rows per post are bounded by the buckets of the period
+    and runs per row by the runs a bucket can hold; neither grows with the views.
     """
-    runs = snapshots.select("post_id", "run_ts").distinct()
     bucketed = (
-        runs.withColumn("bucket", floor_div(F.col("run_ts"), bucket_ms))
+        snapshots.select("post_id", "run_ts")
+        .distinct()
+        .withColumn("bucket", floor_div(F.col("run_ts"), bucket_ms))
         .groupBy("post_id", "bucket")
-        .agg(
-            F.collect_list("run_ts").alias("runs"),
-            F.max("run_ts").alias("last_run"),
-        )
-    )
-    final = snapshots.agg(
-        (floor_div(F.max("run_ts"), bucket_ms) + 1).alias("final_bucket")
+        .agg(F.collect_list("run_ts").alias("runs"), F.max("run_ts").alias("last_run"))
     )
     by_post = Window.partitionBy("post_id").orderBy("bucket")
-    spans = bucketed.select(
-        "*",
-        F.lag("last_run").over(by_post).alias("before"),
-        F.lead("bucket").over(by_post).alias("next_bucket"),
-    ).withColumn("stop", F.coalesce(F.col("next_bucket"), final.scalar() + 1))
-    filled = spans.withColumn("b", F.explode(F.sequence(F.col("bucket"), F.col("stop") - 1)))
+    filled = (
+        bucketed.withColumn("before", F.lag("last_run").over(by_post))
+        .withColumn("next", F.coalesce(F.lead("bucket").over(by_post), final + 1))
+        .withColumn("b", F.explode(F.sequence(F.col("bucket"), F.col("next") - 1)))
+    )
     is_own = F.col("b") == F.col("bucket")
-    calendar = filled.select(
+    return filled.select(
         "post_id",
         F.col("b").alias("bucket"),
         F.when(is_own, F.col("runs")).alias("runs"),
         F.when(is_own, F.col("before")).otherwise(F.col("last_run")).alias("prev_run"),
     )
-    return calendar, final
 
 
 def asof_snapshot(
@@ -54,18 +46,22 @@ def asof_snapshot(
     snapshots: DataFrame,
     lag_ms: int = 0,
     bucket_ms: int = 6 * HOUR_MS,
+    until_ms: int | None = None,
 ) -> DataFrame:
     """Adds ``run_ts``, the latest run at or before each view; views with none are dropped.
 
     Views repeat a (user, post, time) at most once in the result. ``lag_ms`` asks for a run
-    that is at least so much older than the view.
+    that is at least so much older than the view. ``until_ms``, a time no run comes after,
+    saves looking up the last run of the table.
     """
-    calendar, final = run_calendar(snapshots, bucket_ms)
+    if until_ms is None:
+        last = snapshots.agg((floor_div(F.max("run_ts"), bucket_ms) + 1).alias("final"))
+        final = last.scalar()
+    else:
+        final = F.lit(until_ms // bucket_ms + 1).cast("bigint")
+    calendar = run_calendar(snapshots, bucket_ms, final)
     probe = F.col("view_time") - lag_ms
-    keyed = (
-        views.distinct()
-        .withColumn("bucket", F.least(floor_div(probe, bucket_ms), final.scalar()))
-    )
+    keyed = views.distinct().withColumn("bucket", F.least(floor_div(probe, bucket_ms), final))
     matched = salted_lookup(
         keyed, calendar, ["post_id", "bucket"], ["user_id", "view_time"], how="inner"
     )

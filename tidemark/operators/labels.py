@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import (
     age_zero,
+    day_ms,
     floor_div,
     has_post,
     label_y,
@@ -160,11 +161,17 @@ def flag_views(
 GROUP = ["user_id", "post_id", "run_ts"]
 
 
-def label_views(flagged: DataFrame, per_view: bool = False, tz: str = "UTC") -> DataFrame:
+def label_views(
+    flagged: DataFrame,
+    per_view: bool = False,
+    tz: str = "UTC",
+    matched: DataFrame | None = None,
+) -> DataFrame:
     """Labels of flagged views.
 
     By default the views of one user on one post under one snapshot share the strongest
-    outcome of any of them; ``per_view`` labels each by its own.
+    outcome of any of them; ``per_view`` labels each by its own. ``matched`` may hold the
+    same views before they were flagged, which are cheaper to read a second time.
     """
     if not per_view:
         outcome = (
@@ -172,7 +179,7 @@ def label_views(flagged: DataFrame, per_view: bool = False, tz: str = "UTC") ->
             .groupBy(*GROUP)
             .agg(F.bool_or("initiated").alias("initiated"), F.bool_or("trialed").alias("trialed"))
         )
-        plain = flagged.select(*GROUP, "view_time")
+        plain = (flagged if matched is None else matched).select(*GROUP, "view_time")
         flagged = salted_lookup(plain, outcome, GROUP, ["view_time"])
     return flagged.select(
         *GROUP,
@@ -200,9 +207,14 @@ def matched_views(
     lag_ms: int = 0,
     vocab: Vocabulary = VOCAB_A,
 ) -> DataFrame:
-    """Day-0 views of a date range, each with the snapshot that preceded it."""
+    """Day-0 views of a date range, each with the snapshot that preceded it.
+
+    A snapshot's ``date`` is the day of its run in some zone, so no run of the range comes
+    after the day that follows it.
+    """
     views = post_views(events, start, end, day0, vocab)
-    return asof_snapshot(views, snapshots.filter(on_dates(start, end)), lag_ms)
+    until = day_ms(shift_day(end, 2), "UTC")
+    return asof_snapshot(views, snapshots.filter(on_dates(start, end)), lag_ms, until_ms=until)
 
 
 def create_labels(
@@ -221,7 +233,8 @@ def create_labels(
     policy = POLICIES[window]
     views = matched_views(events, snapshots, start, end, day0, lag_ms, vocab)
     conversions = scan_conversions(events, start, end, policy, vocab)
-    return label_views(flag_views(views, conversions, policy, tz, vocab), per_view, tz)
+    flagged = flag_views(views, conversions, policy, tz, vocab)
+    return label_views(flagged, per_view, tz, matched=views)
 
 
 def multi_window_labels(
@@ -237,7 +250,7 @@ def multi_window_labels(
 
     Each view is matched once; the outcomes of a snapshot group meet in one aggregation.
     """
-    flagged = matched_views(events, snapshots, start, end, day0, vocab=vocab)
+    matched = flagged = matched_views(events, snapshots, start, end, day0, vocab=vocab)
     names = []
     for policy, suffix in ((SAME_DAY, "day0"), (WITHIN_7D, "day7")):
         conversions = scan_conversions(events, start, end, policy, vocab)
@@ -246,7 +259,7 @@ def multi_window_labels(
             names.append(f"{kind}_{suffix}")
             flagged = flag_conversions(flagged, found, keys, policy, names[-1], tz)
     outcome = flagged.groupBy(*GROUP).agg(*[F.bool_or(n).alias(n) for n in names])
-    plain = flagged.select(*GROUP, "view_time")
+    plain = matched.select(*GROUP, "view_time")
     return salted_lookup(plain, outcome, GROUP, ["view_time"]).select(
         *GROUP,
         "view_time",
