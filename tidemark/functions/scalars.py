@@ -46,7 +46,8 @@ def origin_post(origin: Column) -> Column:
 
 def floor_div(col: Column, width: int) -> Column:
     """Exact floor(col / width) on 64-bit integers."""
-    return ((col - F.pmod(col, F.lit(width).cast("bigint"))) / F.lit(width)).cast("bigint")
+    step = F.lit(width).cast("bigint")
+    return F.call_function("div", col - F.pmod(col, step), step)
 
 
 def ms_to_day(ms: Column, tz: str = "UTC") -> Column:

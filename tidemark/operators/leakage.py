@@ -19,31 +19,38 @@ MINUTE_MS = 60_000
 def counts_before(
     marks: DataFrame, probes: DataFrame, keys: list[str], names: list[str], slice_ms: int = MINUTE_MS
 ) -> DataFrame:
-    """For each probe (keys, ``t``), the sums of ``names`` over marks strictly before ``t``.
+    """For each distinct probe (keys, ``t``), the sums of ``names`` over marks before ``t``.
 
     A running sum over a whole key would put a hot key into one task. Marks and probes first
     shrink to one row per key and millisecond; the running sum is then taken within slices
     and over the totals of slices. A window group therefore holds at most ``slice_ms`` rows,
     or one row per slice of the period, whatever the number of events.
     """
-    empty = [F.lit(0).cast("bigint").alias(n) for n in names]
+    zero = F.lit(0).cast("bigint")
     points = (
-        marks.select(*keys, "t", *names)
-        .unionByName(probes.select(*keys, "t", *empty))
+        marks.select(*keys, "t", *names, F.lit(False).alias("probe"))
+        .unionByName(
+            probes.select(*keys, "t", *[zero.alias(n) for n in names], F.lit(True).alias("probe"))
+        )
         .withColumn("slice", floor_div(F.col("t"), slice_ms))
+        # Stated here for both readers of the points; a filter that Spark infers for one of
+        # them alone would keep them from sharing the shuffle.
+        .filter(F.col("slice").isNotNull())
         .groupBy(*keys, "slice", "t")
-        .agg(*[F.sum(n).alias(n) for n in names])
+        .agg(*[F.sum(n).alias(n) for n in names], F.bool_or("probe").alias("probe"))
     )
     earlier = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
     in_slice = earlier(Window.partitionBy(*keys, "slice").orderBy("t"))
     over_slices = earlier(Window.partitionBy(*keys).orderBy("slice"))
-    running = lambda n, w: F.coalesce(F.sum(n).over(w), F.lit(0))
+    running = lambda n, w: F.coalesce(F.sum(n).over(w), zero)
     totals = (
         points.groupBy(*keys, "slice")
         .agg(*[F.sum(n).alias(n) for n in names])
         .select(*keys, "slice", *[running(n, over_slices).alias(f"_{n}") for n in names])
     )
-    within = points.select(*keys, "slice", "t", *[running(n, in_slice).alias(n) for n in names])
+    within = points.select(
+        *keys, "slice", "t", "probe", *[running(n, in_slice).alias(n) for n in names]
+    ).filter("probe")
     return within.join(totals, [*keys, "slice"]).select(
         *keys, "t", *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in names]
     )
@@ -66,7 +73,9 @@ def loo_counts(
 ) -> DataFrame:
     """Adds ``<measure>_other_users`` to each distinct (user, post, view time).
 
-    Events of others before the view are all events before it less the user's own.
+    Events of others before the view are all events before it less the user's own. Rows
+    without a user or post belong to nobody and are left out at the source: every branch
+    then starts from the same shuffled rows, which Spark reads once.
     """
     measures = measures or default_measures(vocab)
     names = list(measures)
@@ -75,23 +84,23 @@ def loo_counts(
         "post_id",
         "is_locked",
         "from_post",
-    ).filter(has_post())
+    ).filter(has_post() & F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
     marks = (
         parsed.withColumn("t", F.col("event_time"))
         .groupBy("post_id", "user_id", "t")
         .agg(*[F.count_if(cond).alias(n) for n, cond in measures.items()])
     )
-    distinct = views.select("user_id", "post_id", "view_time").distinct()
-    probes = distinct.withColumnRenamed("view_time", "t")
-    by_all = counts_before(marks, probes, ["post_id"], names)
-    by_own = counts_before(marks, probes, ["post_id", "user_id"], names)
-    own = by_own.select("post_id", "user_id", "t", *[F.col(n).alias(f"_{n}") for n in names])
-    rows = salted_lookup(
-        probes.join(own, ["post_id", "user_id", "t"]), by_all, ["post_id", "t"], ["user_id"]
+    probes = (
+        views.select("post_id", "user_id", F.col("view_time").alias("t"))
+        .filter(has_post() & F.col("user_id").isNotNull() & F.col("t").isNotNull())
+        .distinct()
     )
-    return rows.select(
+    own = counts_before(marks, probes, ["post_id", "user_id"], names)
+    everyone = counts_before(marks, probes, ["post_id"], names)
+    totals = everyone.select("post_id", "t", *[F.col(n).alias(f"_{n}") for n in names])
+    return salted_lookup(own, totals, ["post_id", "t"], ["user_id"]).select(
         "user_id",
         "post_id",
         F.col("t").alias("view_time"),
-        *[(F.col(n) - F.col(f"_{n}")).alias(f"{n}_other_users") for n in names],
+        *[(F.col(f"_{n}") - F.col(n)).alias(f"{n}_other_users") for n in names],
     )
