@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.checks.fixtures import END, FEATURE_DATES, PREV_RUN_TS, REF, RUN_TS, START, Fixtures
+from tidemark.checks.fixtures import (
+    END,
+    FEATURE_DATES,
+    PREV_RUN_TS,
+    REF,
+    RUN_TS,
+    START,
+    TODAY,
+    Fixtures,
+)
 from tidemark.functions import (
     json_str,
     ms_to_day,
@@ -47,7 +56,6 @@ from tidemark.streaming.snapshots import stream_snapshots
 from tidemark.vocab import VOCAB_A, VOCAB_B
 
 SINCE = shift_day(run_params(RUN_TS).date, -7)
-TODAY = run_params(RUN_TS).date
 BOUNDS = window_bounds(REF)
 CARRY_CUTOFF = RUN_TS - 7 * DAY_MS
 
@@ -267,21 +275,15 @@ def _today(f):
     return latest_posts(f.dumps.filter(on_dates(TODAY, TODAY)), "truthy")
 
 
-def _previous(f):
-    window = f.dumps.filter(on_dates(shift_day(TODAY, -9), TODAY))
-    earlier = latest_posts(window, "truthy").filter(F.col("created_ts") < PREV_RUN_TS)
-    return plans.snapshot_full(f.events, earlier, PREV_RUN_TS, f.mapping)
-
-
 @_query
 def merged_posts(f):
-    return merge_posts(_today(f), _previous(f), CARRY_CUTOFF)
+    return merge_posts(_today(f), f.previous, CARRY_CUTOFF)
 
 
 @_query
 def split_new_and_existing(f):
-    posts = merge_posts(_today(f), _previous(f), CARRY_CUTOFF)
-    new, existing = split_posts(posts, _previous(f))
+    posts = merge_posts(_today(f), f.previous, CARRY_CUTOFF)
+    new, existing = split_posts(posts, f.previous)
     mark = lambda df, kind: df.select("post_id", F.lit(kind).alias("kind"))
     return mark(new, "new").unionByName(mark(existing, "existing"))
 
@@ -456,7 +458,7 @@ def snapshot_a_full(f):
 @_query
 def snapshot_a_incremental(f):
     return plans.snapshot_incremental(
-        _previous(f), _today(f), f.events, RUN_TS, PREV_RUN_TS, f.mapping
+        f.previous, _today(f), f.events, RUN_TS, PREV_RUN_TS, f.mapping
     )
 
 
@@ -473,6 +475,17 @@ def snapshot_b(f):
     return plans.snapshot_b(f.events, latest_posts(f.dumps, "strict"), RUN_TS)
 
 
+@_query
+def snapshot_b_three_lookups(f):
+    return plans.assemble_b(
+        latest_posts(f.dumps, "strict"),
+        RUN_TS,
+        engagement.engagement_b(f.events, RUN_TS),
+        engagement.social_b(f.events, RUN_TS),
+        engagement.conversions_b(f.events, RUN_TS),
+    )
+
+
 @_query
 def rank_posts(f):
     return quality.rank_posts(snapshot_a_full(f))
@@ -480,7 +493,7 @@ def rank_posts(f):
 
 @_query
 def run_summary(f):
-    return quality.run_summary(snapshot_a_incremental(f), _previous(f))
+    return quality.run_summary(snapshot_a_incremental(f), f.previous)
 
 
 @_query

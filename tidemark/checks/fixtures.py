@@ -14,17 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import age_zero, floor_div, has_post
+from tidemark.functions import age_zero, floor_div, has_post, on_dates, run_params, shift_day
 from tidemark.operators.asof import HOUR_MS
 from tidemark.operators.events import parse_events
 from tidemark.operators.labels import create_labels
 from tidemark.operators.posts import latest_posts, place_map, with_state
 from tidemark.plans.daily import daily_features
-from tidemark.plans.snapshots import with_rates
+from tidemark.plans.snapshots import snapshot_full, with_rates
 from tidemark.session import shared_dir
 
 RUN_TS = 1_705_838_400_000  # 2024-01-21 12:00 UTC, 17:30 in the feed's zone
 PREV_RUN_TS = RUN_TS - 6 * HOUR_MS
+TODAY = run_params(RUN_TS).date
 REF = "2024-01-21"
 START, END = "2024-01-08", "2024-01-21"
 FEATURE_DATES = ["2024-01-11", "2024-01-15", "2024-01-20", "2024-01-21"]
@@ -194,7 +195,8 @@ class Fixtures:
         def write_and_read() -> DataFrame:
             rows, path = build(), self.path(name)
             balanced = rows.hint("rebalance", *[F.col(p) for p in partitions])
-            balanced.write.partitionBy(*partitions).parquet(path)
+            writer = balanced.write
+            (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
             return self.spark.read.schema(rows.schema).parquet(path)
 
         return self._once(name, write_and_read)
@@ -297,6 +299,17 @@ class Fixtures:
             for kind in schemas.FEATURES
         }
 
+    @property
+    def previous(self) -> DataFrame:
+        """The snapshot of the run before, with some posts about to leave the window."""
+
+        def build() -> DataFrame:
+            window = self.dumps.filter(on_dates(shift_day(TODAY, -9), TODAY))
+            posts = latest_posts(window, "truthy").filter(F.col("created_ts") < PREV_RUN_TS)
+            return snapshot_full(self.events, posts, PREV_RUN_TS, self.mapping)
+
+        return self._stored("previous", build)
+
     def labels(self, window: str = "same_day") -> DataFrame:
         build = lambda: create_labels(self.events, self.grid, START, END, window)
         return self._stored(f"labels_{window}", build, "date")

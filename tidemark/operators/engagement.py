@@ -112,6 +112,39 @@ def social_b(
     )
 
 
+def metrics_b(
+    events: DataFrame, run_ts: int, tz: str = FEED_TZ, vocab: Vocabulary = VOCAB_B
+) -> DataFrame:
+    """The three variant B counts from one scan, one parse and one shuffle.
+
+    Only conversions reach back further than a day.
+    """
+    kinds = {"locks": vocab.locked, "initiates": vocab.initiate, "trials": vocab.trial}
+    daily = [vocab.seen, vocab.shared, vocab.reaction, vocab.comment]
+    last_day = on_dates(_since_days(run_ts, 1, tz))
+    scanned = events.filter(
+        on_dates(_since_days(run_ts, 7, tz))
+        & before(run_ts)
+        & (named(kinds.values()) | (named(daily) & last_day))
+    )
+    parsed = parse_events(
+        scanned, "post_id", "user_age", "media_clicked", "read_mode_open", "screen_time", "max_listen"
+    ).filter(has_post())
+    seen = _name(vocab.seen)
+    return parsed.groupBy("post_id").agg(
+        F.count_if(seen).alias("views"),
+        F.count_if(seen & (F.col("media_clicked") == "true")).alias("mediaClickedCount"),
+        F.count_if(seen & (F.col("read_mode_open") == "true")).alias("readModeCount"),
+        F.avg(F.when(seen, F.col("screen_time"))).alias("avgDur"),
+        F.avg(F.when(seen, F.col("max_listen"))).alias("listenpct"),
+        F.count_if(_name(vocab.shared)).alias("shareCount"),
+        F.count_if(_name(vocab.reaction)).alias("reactionCount"),
+        F.count_if(_name(vocab.comment)).alias("commentCount"),
+        *[F.count_if(_name(n)).alias(f"post_{kind}_so_far") for kind, n in kinds.items()],
+        *[F.count_if(_name(n) & age_zero()).alias(f"post_day0_{k}") for k, n in kinds.items()],
+    )
+
+
 def conversions_b(
     events: DataFrame, run_ts: int, tz: str = FEED_TZ, vocab: Vocabulary = VOCAB_B
 ) -> DataFrame:

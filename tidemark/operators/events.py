@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.functions import named, on_dates, origin_post
+from tidemark.skew import salted_lookup
 from tidemark.vocab import VOCAB_A, Vocabulary
 
 # payload column -> (top-level payload field, expression on the parsed payload)
@@ -74,13 +75,16 @@ def day0_users(
 def flag_day0(events: DataFrame, day0: DataFrame) -> DataFrame:
     """Adds ``is_day0`` (0/1) by membership of the user."""
     marks = day0.select("user_id", F.lit(1).alias("is_day0"))
-    return events.join(marks, "user_id", "left").withColumn(
-        "is_day0", F.coalesce("is_day0", F.lit(0))
+    return salted_lookup(events, marks, ["user_id"], ["event_time"]).select(
+        *events.columns, F.coalesce("is_day0", F.lit(0)).alias("is_day0")
     )
 
 
 def only_day0(events: DataFrame, day0: DataFrame) -> DataFrame:
-    return events.join(day0.select("user_id"), "user_id", "left_semi")
+    """Events of the given users."""
+    users = day0.select("user_id")
+    kept = salted_lookup(events, users, ["user_id"], ["event_time"], how="left_semi")
+    return kept.select(*events.columns)
 
 
 def locks(events: DataFrame, vocab: Vocabulary = VOCAB_A) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import minutes_between, ms_to_day, named, on_dates, pct
 from tidemark.operators.events import day0_users, parse_events
+from tidemark.skew import salted_lookup
 from tidemark.vocab import VOCAB_A, Vocabulary
 
 
@@ -80,7 +81,8 @@ def conversion_timing(
     """Converted labels of a date beside the conversions of their user that day.
 
     The report lists every conversion of the user for every label, as it is defined; both
-    sides are first cut to the one date and to converted labels.
+    sides are first cut to the one date and to converted labels, and the labels of one user
+    are spread over tasks.
     """
     converted = labels.filter(on_dates(date, date) & (F.col("y") > 0)).select(
         "user_id", "post_id", "view_time", "y"
@@ -91,7 +93,7 @@ def conversion_timing(
         & (ms_to_day(F.col("event_time"), tz) == date)
     ).select("user_id", F.col("event_time").alias("conversion_time"))
     return (
-        converted.join(conversions, "user_id")
+        salted_lookup(converted, conversions, ["user_id"], ["post_id", "view_time"], how="inner")
         .select(
             "user_id",
             "post_id",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import day_ms, run_params, shift_day, window_bounds
@@ -57,10 +58,12 @@ def run_snapshot(
         posts = latest_posts(read_dumps(spark, dumps_path, since, now.date), "truthy")
         snapshot = snapshot_full(events, posts, run_ts, mapping, days, tz, vocab)
     else:
-        date, run = slot
-        prev_ts = day_ms(date, tz) + (int(run[:2]) * 60 + int(run[2:])) * 60_000
         posts = latest_posts(read_dumps(spark, dumps_path, now.date, now.date), "truthy")
         previous = read_snapshot(spark, base, run_ts, tz)
+        prev_ts = previous.agg(F.max("run_ts")).first()[0]
+        if prev_ts is None:  # a run without posts; its slot is known to the minute
+            date, run = slot
+            prev_ts = day_ms(date, tz) + (int(run[:2]) * 60 + int(run[2:])) * 60_000
         snapshot = snapshot_incremental(
             previous, posts, events, run_ts, prev_ts, mapping, days, tz, vocab
         )

@@ -19,8 +19,8 @@ from tidemark.functions import (
 )
 from tidemark.functions.dates import FEED_TZ
 from tidemark.functions.scalars import DAY_MS
-from tidemark.operators.engagement import METRICS_A, conversions_b, engagement_b, social_b
-from tidemark.operators.events import day0_users
+from tidemark.operators.engagement import METRICS_A, metrics_b
+from tidemark.operators.events import in_posts
 from tidemark.operators.partials import (
     POST_KEYS,
     POST_SUMS,
@@ -31,7 +31,7 @@ from tidemark.operators.partials import (
     post_partials,
     user_partials,
 )
-from tidemark.operators.posts import merge_posts, split_posts, with_state
+from tidemark.operators.posts import with_state
 from tidemark.vocab import VOCAB_A, VOCAB_B, Vocabulary
 
 # snapshot column -> metric of post_metrics
@@ -123,30 +123,47 @@ def snapshot_incremental(
     any, else the previous one. Conversions pair only within the delta, as a sum of
     snapshots cannot know the users of earlier locks; :func:`snapshot_from_state` can.
     """
-    posts = merge_posts(today, previous, run_ts - days * DAY_MS)
-    new, existing = split_posts(posts, previous)
-    seen = window_events(events, run_ts, days, tz)
-    fresh = assemble_a(new, full_metrics(seen, vocab), run_ts, mapping)
-
     first_date = shift_day(run_params(run_ts, tz).date, -days)
+    seen = window_events(events, run_ts, days, tz)
+    by_user = user_partials(seen, vocab)
+    new = today.join(previous.select("post_id"), "post_id", "left_anti")
+    full = metrics_from_partials(in_posts(post_partials(seen, vocab), new), by_user)
     delta = seen.filter(since(prev_run_ts))
-    metrics = metrics_from_partials(
+    changed = metrics_from_partials(
         post_partials(delta, vocab),
         user_partials(delta, vocab),
-        day0=day0_users(events.filter(before(run_ts)), first_date, vocab=vocab),
+        first_date,
+        day0=by_user.filter(F.col("day0_calls") > 0).select("user_id").distinct(),
+    )
+
+    # Every side of these joins is unique on, and shuffled by, the post.
+    tag = lambda df, mark: df.select(
+        "post_id", *[F.col(c).alias(f"{mark}_{c}") for c in df.columns if c != "post_id"]
+    )
+    now = today.select(*schemas.POST.fieldNames()).withColumn("listed", F.lit(True))
+    before_run = previous.withColumn("known", F.lit(True))
+    rows = (
+        tag(now, "now")
+        .join(tag(before_run, "old"), "post_id", "full")
+        .filter(F.col("now_listed") | (F.col("old_created_ts") >= run_ts - days * DAY_MS))
+        .join(tag(full, "full"), "post_id", "left")
+        .join(tag(changed, "delta"), "post_id", "left")
     )
-    kept = previous.select("post_id", *[F.col(c).alias(f"_{c}") for c in [*COUNTERS, "avgDur"]])
-    changed = metrics.select("post_id", *[F.col(m).alias(f"+{m}") for m in METRICS_A])
-    rows = existing.join(kept, "post_id").join(changed, "post_id", "left")
+    listed, known = F.col("now_listed").isNotNull(), F.col("old_known").isNotNull()
+    either = lambda c: F.when(listed, F.col(f"now_{c}")).otherwise(F.col(f"old_{c}"))
+    zero = lambda c: default(F.col(c), 0)
     summed = rows.select(
-        *existing.columns,
-        F.coalesce(F.col("`+avg_dur`"), F.col("_avgDur")).alias("avgDur"),
+        "post_id",
+        *[either(c).alias(c) for c in schemas.POST.fieldNames() if c != "post_id"],
+        F.when(known, F.coalesce("delta_avg_dur", "old_avgDur"))
+        .otherwise(default(F.col("full_avg_dur"), 0.0))
+        .alias("avgDur"),
         *[
-            (default(F.col(f"_{c}"), 0) + default(F.col(f"`+{m}`"), 0)).alias(c)
+            F.when(known, zero(f"old_{c}") + zero(f"delta_{m}")).otherwise(zero(f"full_{m}")).alias(c)
             for c, m in COUNTERS.items()
         ],
     )
-    return fresh.unionByName(_finish(summed, run_ts, mapping))
+    return _finish(summed, run_ts, mapping)
 
 
 def advance_state(
@@ -180,23 +197,14 @@ def snapshot_from_state(
     return assemble_a(posts, metrics_from_partials(*state, first_date), run_ts, mapping)
 
 
-def assemble_b(
-    posts: DataFrame,
-    engagement: DataFrame,
-    social: DataFrame,
-    conversions: DataFrame,
-    run_ts: int,
-) -> DataFrame:
-    """Posts with three keyed lookups; what is missing counts as 0."""
+def assemble_b(posts: DataFrame, run_ts: int, *metrics: DataFrame) -> DataFrame:
+    """Posts with keyed lookups of their metrics; what is missing counts as 0."""
     means = ["avgDur", "listenpct"]
     counts = [c for c in [*schemas.ENGAGEMENT_COLUMNS, *schemas.CONVERSION_COLUMNS] if c not in means]
-    rows = (
-        posts.join(engagement, "post_id", "left")
-        .join(social, "post_id", "left")
-        .join(conversions, "post_id", "left")
-        .fillna(0, subset=counts)
-        .fillna(0.0, subset=means)
-    )
+    rows = posts
+    for table in metrics:
+        rows = rows.join(table, "post_id", "left")
+    rows = rows.fillna(0, subset=counts).fillna(0.0, subset=means)
     run = F.lit(run_ts).cast("bigint")
     complete = rows.select(
         "*",
@@ -216,13 +224,7 @@ def snapshot_b(
     vocab: Vocabulary = VOCAB_B,
 ) -> DataFrame:
     """Stateless snapshot; with a district map it also carries ``post_state``."""
-    snapshot = assemble_b(
-        posts,
-        engagement_b(events, run_ts, tz, vocab),
-        social_b(events, run_ts, tz, vocab),
-        conversions_b(events, run_ts, tz, vocab),
-        run_ts,
-    )
+    snapshot = assemble_b(posts, run_ts, metrics_b(events, run_ts, tz, vocab))
     return snapshot if mapping is None else with_state(snapshot, mapping)
 
 
