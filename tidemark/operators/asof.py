@@ -62,8 +62,9 @@ def asof_snapshot(
     calendar = run_calendar(snapshots, bucket_ms, final)
     probe = F.col("view_time") - lag_ms
     keyed = views.distinct().withColumn("bucket", F.least(floor_div(probe, bucket_ms), final))
+    # The bucket already divides a hot post by time.
     matched = salted_lookup(
-        keyed, calendar, ["post_id", "bucket"], ["user_id", "view_time"], how="inner"
+        keyed, calendar, ["post_id", "bucket"], ["user_id", "view_time"], how="inner", salts=4
     )
     inside = F.array_max(F.filter("runs", lambda run: run <= probe))
     return (

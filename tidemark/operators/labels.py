@@ -180,7 +180,7 @@ def label_views(
             .agg(F.bool_or("initiated").alias("initiated"), F.bool_or("trialed").alias("trialed"))
         )
         plain = (flagged if matched is None else matched).select(*GROUP, "view_time")
-        flagged = salted_lookup(plain, outcome, GROUP, ["view_time"])
+        flagged = plain.join(outcome, GROUP, "left")
     return flagged.select(
         *GROUP,
         "view_time",
@@ -260,7 +260,7 @@ def multi_window_labels(
             flagged = flag_conversions(flagged, found, keys, policy, names[-1], tz)
     outcome = flagged.groupBy(*GROUP).agg(*[F.bool_or(n).alias(n) for n in names])
     plain = matched.select(*GROUP, "view_time")
-    return salted_lookup(plain, outcome, GROUP, ["view_time"]).select(
+    return plain.join(outcome, GROUP, "left").select(
         *GROUP,
         "view_time",
         label_y(F.col("trial_day0"), F.col("initiate_day0")).alias("y_day0"),

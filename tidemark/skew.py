@@ -20,11 +20,12 @@ def salted_lookup(
     how: str = "left",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join to a lookup far smaller than ``left`` and unique on ``keys``.
+    """Join to a lookup far smaller than ``left``.
 
     Every key is spread over ``salts`` tasks by a hash of the ``spread`` columns, and the
     lookup is repeated once per salt. A hash, unlike a random number, gives the same
-    salt when a lost task is run again.
+    salt when a lost task is run again. Keys that already hold a time or another fine part
+    need fewer salts, or a plain join.
     """
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
