@@ -150,7 +150,8 @@ def test_scheduled_runs_end_to_end(spark, mapping, tmp_path):
         ("u", "p0", T0, 1),
         ("v", "p1", T0 + SLOT, 2),
     ]
-    jobs.run_daily(spark, events, dump_path, mapping, out["features"], date)
+    written = jobs.run_daily(spark, events, dump_path, mapping, out["features"], date)
+    assert written["creator"] == 1 and set(written) == set(schemas.FEATURES)
     creator = readers.features_table(spark, out["features"], "creator", date, date).first()
     assert (creator.creatorID, creator.creator_prior_rate, creator.creator_verified) == ("c1", 1.0, True)
     jobs.run_training(

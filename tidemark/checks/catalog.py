@@ -24,7 +24,9 @@ from tidemark.functions import (
     ms_to_day,
     on_dates,
     run_params,
+    safe_cast,
     shift_day,
+    str_true,
     window_bounds,
 )
 from tidemark.functions.scalars import DAY_MS
@@ -93,8 +95,21 @@ def _current(f: Fixtures) -> DataFrame:
 def event_payload(f):
     e = parse_events(f.events)
     day = ms_to_day(F.col("event_time"), "Asia/Kolkata").alias("feed_day")
-    raw = f.events.select("event_id", json_str("data", "$.postEngagement.screenTime").alias("st"))
-    return e.select("*", ms_to_day(F.col("event_time")).alias("utc_day"), day).join(raw, "event_id")
+    return e.select("*", ms_to_day(F.col("event_time")).alias("utc_day"), day)
+
+
+@_query
+def json_paths(f):
+    path = lambda p: json_str("data", f"$.{p}")
+    return f.events.select(
+        "event_id",
+        path("postId").alias("post_id"),
+        path("duration").alias("duration_text"),
+        path("postEngagement.screenTime").alias("screen_time_text"),
+        path("absent").alias("absent"),
+        safe_cast(path("postEngagement.screenTime"), "bigint").alias("screen_time"),
+        str_true(path("isLocked")).alias("is_locked"),
+    )
 
 
 @_query

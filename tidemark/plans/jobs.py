@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -80,14 +80,20 @@ def run_daily(
     ref: str,
     tz: str = FEED_TZ,
     vocab: Vocabulary = VOCAB_A,
-) -> None:
-    """The four feature tables of one date."""
+) -> dict[str, int]:
+    """The four feature tables of one date. Returns the rows written to each."""
     bounds = window_bounds(ref, tz)
     events = read_events(spark, events_path, bounds.first_date, bounds.last_date)
     dumps = read_dumps(spark, dumps_path, bounds.first_date, bounds.last_date)
     tables = daily_features(latest_posts(dumps), events, mapping, ref, tz, vocab=vocab)
+    written = {}
     for kind, table in tables.items():
-        write_features(table, base, kind, ref)
+        # Counted while it is written, without a second run of the plan.
+        counted = Observation()
+        rows = table.observe(counted, F.count(F.lit(1)).alias("rows"))
+        write_features(rows, base, kind, ref)
+        written[kind] = counted.get["rows"]
+    return written
 
 
 def run_labels(

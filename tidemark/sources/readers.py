@@ -81,34 +81,42 @@ def read_snapshot_ts(spark: SparkSession, base: str, ts: int | None = None) -> D
     return table if ts is None else table.filter(F.col("ts") == ts)
 
 
-def list_runs(spark: SparkSession, base: str) -> DataFrame | None:
-    """(date, run) folders that hold files, from the listing alone; None without the base."""
+def date_glob(base: str, start: str, end: str) -> str:
+    """Path that lists the ``date=`` folders of a range and no others."""
+    days = [start]
+    while days[-1] < end:
+        days.append(shift_day(days[-1], 1))
+    return f"{base.rstrip('/')}/date={{{','.join(days)}}}"
+
+
+def list_runs(spark: SparkSession, base: str, start: str, end: str) -> DataFrame | None:
+    """(date, run) folders of a date range that hold files, from the listing alone.
+
+    None when the range has no folder. History outside the range is not listed.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+        found = files.load(date_glob(base, start, end))
     except AnalysisException:
         return None
     name = lambda part: F.regexp_extract("path", f"/{part}=([^/]+)/", 1)
-    return (
-        files.select(name("date").alias("date"), name("run").alias("run"))
-        .filter(F.col("date") != "")
-        .distinct()
-    )
+    return found.select(name("date").alias("date"), name("run").alias("run")).distinct()
 
 
 def is_cold_start(spark: SparkSession, base: str, date: str) -> bool:
     """True when neither the date nor the day before has a snapshot."""
-    runs = list_runs(spark, base)
-    return runs is None or runs.filter(F.col("date").isin(date, shift_day(date, -1))).isEmpty()
+    runs = list_runs(spark, base, shift_day(date, -1), date)
+    return runs is None or runs.isEmpty()
 
 
 def latest_run(
-    spark: SparkSession, base: str, before_ts: int, tz: str = FEED_TZ
+    spark: SparkSession, base: str, before_ts: int, tz: str = FEED_TZ, days: int = 7
 ) -> tuple[str, str] | None:
-    """(date, run) of the last snapshot strictly before a run, across dates."""
-    runs = list_runs(spark, base)
+    """(date, run) of the last snapshot strictly before a run, at most ``days`` dates back."""
+    now = run_params(before_ts, tz)
+    runs = list_runs(spark, base, shift_day(now.date, -days), now.date)
     if runs is None:
         return None
-    now = run_params(before_ts, tz)
     slot = F.struct("date", "run")
     earlier = slot < F.struct(F.lit(now.date).alias("date"), F.lit(now.slot).alias("run"))
     found = runs.filter(earlier).agg(F.max(slot).alias("slot")).first().slot

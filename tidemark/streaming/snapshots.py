@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import schemas
+from tidemark.functions import run_params, shift_day
 from tidemark.functions.dates import FEED_TZ
 from tidemark.operators.partials import post_partials, user_partials
 from tidemark.plans.snapshots import snapshot_from_state
+from tidemark.sources.readers import date_glob
 from tidemark.sources.sinks import write_snapshot
 from tidemark.vocab import VOCAB_A, Vocabulary
 
@@ -58,12 +60,19 @@ def append_partials(
         )
 
 
-def read_state(spark: SparkSession, state_dir: str) -> State:
-    """(per post, per user) counters of all batches so far."""
+def read_state(
+    spark: SparkSession, state_dir: str, start: str | None = None, end: str | None = None
+) -> State:
+    """(per post, per user) counters of all batches so far, of a range of event dates.
+
+    With a range, only the folders of its dates are listed.
+    """
 
     def table(name: str) -> DataFrame:
+        base = f"{state_dir}/{name}"
+        reader = spark.read.schema(_TABLES[name]).option("basePath", base)
         try:
-            return spark.read.schema(_TABLES[name]).parquet(f"{state_dir}/{name}")
+            return reader.parquet(base if start is None else date_glob(base, start, end))
         except AnalysisException:
             return spark.createDataFrame([], _TABLES[name])
 
@@ -98,9 +107,10 @@ def stream_snapshots(
         finally:
             batch.unpersist()
         run_ts = clock(batch_id)
-        snapshot = snapshot_from_state(
-            read_state(spark, state_dir), posts_at(run_ts), run_ts, mapping, days, tz
-        )
+        today = run_params(run_ts, tz).date
+        # Event dates may be those of another zone, up to a day ahead of the run's.
+        state = read_state(spark, state_dir, shift_day(today, -days), shift_day(today, 1))
+        snapshot = snapshot_from_state(state, posts_at(run_ts), run_ts, mapping, days, tz)
         write_snapshot(snapshot, out, run_ts, tz=tz)
 
     return (
