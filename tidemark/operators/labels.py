@@ -161,6 +161,20 @@ def flag_views(
 GROUP = ["user_id", "post_id", "run_ts"]
 
 
+def _join_groups(views: DataFrame, outcome: DataFrame) -> DataFrame:
+    """Views with the outcome of their group.
+
+    No group of a null user has an outcome, so comparing users null-safely changes no row;
+    it keeps Spark from filtering nulls on one side only, and so lets both sides share the
+    scan and shuffle of the views.
+    """
+    same_user = F.col("v.user_id").eqNullSafe(F.col("o.user_id"))
+    same_group = (F.col("v.post_id") == F.col("o.post_id")) & (F.col("v.run_ts") == F.col("o.run_ts"))
+    joined = views.alias("v").join(outcome.alias("o"), same_user & same_group, "left")
+    flags = [c for c in outcome.columns if c not in GROUP]
+    return joined.select("v.*", *[F.col(f"o.{c}") for c in flags])
+
+
 def label_views(
     flagged: DataFrame,
     per_view: bool = False,
@@ -180,7 +194,7 @@ def label_views(
             .agg(F.bool_or("initiated").alias("initiated"), F.bool_or("trialed").alias("trialed"))
         )
         plain = (flagged if matched is None else matched).select(*GROUP, "view_time")
-        flagged = plain.join(outcome, GROUP, "left")
+        flagged = _join_groups(plain, outcome)
     return flagged.select(
         *GROUP,
         "view_time",
@@ -260,7 +274,7 @@ def multi_window_labels(
             flagged = flag_conversions(flagged, found, keys, policy, names[-1], tz)
     outcome = flagged.groupBy(*GROUP).agg(*[F.bool_or(n).alias(n) for n in names])
     plain = matched.select(*GROUP, "view_time")
-    return plain.join(outcome, GROUP, "left").select(
+    return _join_groups(plain, outcome).select(
         *GROUP,
         "view_time",
         label_y(F.col("trial_day0"), F.col("initiate_day0")).alias("y_day0"),

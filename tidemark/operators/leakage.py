@@ -42,10 +42,14 @@ def counts_before(
     in_slice = earlier(Window.partitionBy(*keys, "slice").orderBy("t"))
     over_slices = earlier(Window.partitionBy(*keys).orderBy("slice"))
     running = lambda n, w: F.coalesce(F.sum(n).over(w), zero)
+    # Only slices and points that hold a probe are kept, and both sides need the same columns
+    # of the points, which are therefore shuffled once.
     totals = (
         points.groupBy(*keys, "slice")
-        .agg(*[F.sum(n).alias(n) for n in names])
-        .select(*keys, "slice", *[running(n, over_slices).alias(f"_{n}") for n in names])
+        .agg(*[F.sum(n).alias(n) for n in names], F.bool_or("probe").alias("probe"))
+        .select(*keys, "slice", "probe", *[running(n, over_slices).alias(f"_{n}") for n in names])
+        .filter("probe")
+        .drop("probe")
     )
     within = points.select(
         *keys, "slice", "t", "probe", *[running(n, in_slice).alias(n) for n in names]
