@@ -36,14 +36,14 @@ def counts_before(
         # them alone would keep them from sharing the shuffle.
         .filter(F.col("slice").isNotNull())
         .groupBy(*keys, "slice", "t")
-        .agg(*[F.sum(n).alias(n) for n in names], F.bool_or("probe").alias("probe"))
+        .agg(F.bool_or("probe").alias("probe"), *[F.sum(n).alias(n) for n in names])
     )
     earlier = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
     in_slice = earlier(Window.partitionBy(*keys, "slice").orderBy("t"))
     over_slices = earlier(Window.partitionBy(*keys).orderBy("slice"))
     running = lambda n, w: F.coalesce(F.sum(n).over(w), zero)
-    # Only slices and points that hold a probe are kept, and both sides need the same columns
-    # of the points, which are therefore shuffled once.
+    # Only slices and points that hold a probe are kept. Both sides need the same columns of
+    # the points, in the same order, so the points are shuffled once.
     totals = (
         points.groupBy(*keys, "slice")
         .agg(*[F.sum(n).alias(n) for n in names], F.bool_or("probe").alias("probe"))
