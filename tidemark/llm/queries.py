@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import packing, tokenfiles
+from tidemark.llm import neardups, packing, substrings, tokenfiles
 from tidemark.llm.common import place, table
 
 #: Vocabulary of the tokenizer file, with its two special tokens.
@@ -26,5 +27,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), end_id=0, capacity=2048)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op5_best_fit_packing)}
+def op7_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.dedup(table(spark, sf_dir, "documents"), size=13)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardups.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+QUERIES = {f.__name__: f for f in (op3_token_files, op5_best_fit_packing, op7_super_kmer_dedup, op8_setsketch_near_dedup)}
 ORACLES: dict[str, str] = {}
