@@ -46,18 +46,53 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", "spans.start", "spans.n").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
+def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``docs`` with the words of ``spans`` and the white space after each of them taken out of their
+    texts, and n_chars counted anew for these; all other rows stay as they are, nulls too."""
+    rows = with_spans(docs, spans)
+    columns = docs.columns
+    changed = rows.where("spans IS NOT NULL")
+    rest = changed.select(*columns, "spans.start", "spans.n") if not {"start", "n"} & set(columns) else None
+    if rest is None:
+        raise ValueError("columns named start or n have to be set aside first")
+    cut = rest.mapInArrow(_without, docs.schema).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*columns)
+    return rows.where("spans IS NULL").select(*columns).unionAll(cut)
+
+
+def _flags(part: pa.RecordBatch, words) -> np.ndarray:
+    """Whether each word is in one of its document's spans."""
+    edges = np.zeros(len(words.start) + 1, np.int64)
+    lists = part.column("start")
+    doc = np.repeat(np.arange(len(part)), np.diff(lists.offsets.to_numpy()) * lists.is_valid().to_numpy(zero_copy_only=False))
+    start = words.first[doc] + lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    np.add.at(edges, start, 1)
+    np.add.at(edges, start + part.column("n").flatten().to_numpy(zero_copy_only=False), -1)
+    return np.cumsum(edges[:-1]) > 0
+
+
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            data, offsets = text_bytes(part.column("text"))
+            words = split(data, offsets)
+            gone = np.flatnonzero(_flags(part, words))
+            # up to the next word of the document or its end
+            after = np.append(words.start, len(data))[gone + 1]
+            edges = np.zeros(len(data) + 1, np.int8)
+            np.add.at(edges, words.start[gone], 1)
+            np.add.at(edges, np.minimum(after, offsets[words.doc[gone] + 1]), -1)
+            kept = np.cumsum(edges[:-1], dtype=np.int8) == 0
+            text = strings(data[kept], np.append(0, np.cumsum(kept))[offsets[1:]])
+            columns = [text if f.name == "text" else part.column(f.name) for f in part.schema if f.name not in ("start", "n")]
+            yield pa.RecordBatch.from_arrays(columns, [f.name for f in part.schema if f.name not in ("start", "n")])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             data, offsets = text_bytes(part.column("text"))
             words = split(data, offsets)
-            edges = np.zeros(len(words.start) + 1, np.int64)
-            lists = part.column("start")
-            doc = np.repeat(np.arange(len(part)), np.diff(lists.offsets.to_numpy()) * lists.is_valid().to_numpy(zero_copy_only=False))
-            start = words.first[doc] + lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            np.add.at(edges, start, 1)
-            np.add.at(edges, start + part.column("n").flatten().to_numpy(zero_copy_only=False), -1)
-            kept = np.cumsum(edges[:-1]) == 0
+            kept = ~_flags(part, words)
             text, ends = joined(data, words, kept)
             n = words.counts
             yield pa.RecordBatch.from_arrays(
