@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing
+from tidemark.llm import neardups, packing, spans, suffixes
 from tidemark.llm.common import stage, table
 from tidemark.llm.queries import tokenizer
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates, the document with the smallest id stays."""
+    gone = neardups.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def once_each_passage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more stay in the first document that has them."""
+    return spans.without(docs, suffixes.earlier_passages(docs))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens in sequences of 2048."""
     return packing.pack(docs, tokenizer(), end_id=0, capacity=2048)
 
 
-STAGES = [("best_fit_packing", pack)]
+STAGES = [("near_duplicates", one_of_each), ("repeated_passages", once_each_passage), ("best_fit_packing", pack)]
 
+#: No SQL form: sketches, suffixes and tokens have none. tests/llm/test_pipeline.py holds the rows against brute force.
 ORACLE_SQL = None
 
 

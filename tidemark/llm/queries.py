@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardups, packing, substrings, tokenfiles
+from tidemark.llm import neardups, packing, substrings, suffixes, tokenfiles
 from tidemark.llm.common import place, table
 
 #: Vocabulary of the tokenizer file, with its two special tokens.
@@ -17,6 +17,10 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.passages(table(spark, sf_dir, "documents"), size=50).drop("text_hash")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = place(spark, "tokens")
     tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer(), VOCABULARY, end_id=2)
@@ -36,5 +40,5 @@ def op8_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardups.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op5_best_fit_packing, op7_super_kmer_dedup, op8_setsketch_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op3_token_files, op5_best_fit_packing, op7_super_kmer_dedup, op8_setsketch_near_dedup)}
 ORACLES: dict[str, str] = {}
