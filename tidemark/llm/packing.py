@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship, stage
-from tidemark.llm.tokens import Encoder, crc, ragged, with_end
+from tidemark.llm.tokens import ENCODED, Encoder, crc, ragged, with_end
 from tidemark.llm.words import slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, seat long"
@@ -41,7 +41,7 @@ def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacit
     encoder, task = Encoder.of(tokenizer), TaskContext.get().partitionId()
     taken = np.zeros(capacity + 1, np.int64)
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", ENCODED):
             ids, offsets = with_end(*encoder.batch(part.column("text")), end_id)
             total = np.diff(offsets)
             count = -(-total // capacity)

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.words import slices, split, text_bytes
 
-SPANS = "doc_id long, text_hash long, start int, n int"
+SPANS = "doc_id long, text_hash int, start int, n int"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and a hash of the text; rows that share an id are told apart by it."""
-    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    return docs.select(F.col("doc_id").cast("long"), "text", F.hash("text").alias("text_hash"))
 
 
 def runs(flags: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +37,7 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Rows of ``docs`` with the list of their spans, null where there are none. A row without an
     id has none."""
     listed = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    return docs.withColumn("text_hash", F.xxhash64("text")).join(listed, ["doc_id", "text_hash"], "left")
+    return docs.withColumn("text_hash", F.hash("text")).join(listed.hint("merge"), ["doc_id", "text_hash"], "left")
 
 
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:

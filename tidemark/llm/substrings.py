@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, ship
 from tidemark.llm.spans import SPANS, cut, keyed, runs
-from tidemark.llm.tokens import ragged
 from tidemark.llm.words import _BASE, _BASE_2, SPACES, mix, slices, sliding_argmin, spans, split, starts_of, text_bytes, windows
 
 #: Buckets for each shuffle partition; a task holds one bucket at a time.
-BUCKETS = 4
+BUCKETS = 8
+#: Bytes a task gathers for its buckets before it packs them.
+GATHERED = 32 << 20
 MOVED = "bucket int, found boolean, blob binary"
 
 
@@ -41,7 +42,7 @@ def _pack(*arrays: np.ndarray, text: bytes = b"") -> bytes:
     for x in arrays:
         np.save(out, x, allow_pickle=False)
     out.write(text)
-    return zstandard.ZstdCompressor(level=1).compress(out.getvalue())
+    return zstandard.ZstdCompressor(level=3).compress(out.getvalue())
 
 
 def _unpack(blob: bytes, arrays: int) -> tuple[list[np.ndarray], bytes]:
@@ -49,8 +50,26 @@ def _unpack(blob: bytes, arrays: int) -> tuple[list[np.ndarray], bytes]:
     return [np.load(raw, allow_pickle=False) for _ in range(arrays)], raw.read()
 
 
+class _Gathered:
+    """What a task sends to each bucket, kept until it is worth packing."""
+
+    def __init__(self, limit: int = GATHERED):
+        self.limit, self.held, self.size = limit, {}, 0
+
+    def add(self, bucket: int, arrays: list[np.ndarray], text: bytes = b"") -> None:
+        self.held.setdefault(bucket, []).append((arrays, text))
+        self.size += len(text) + sum(x.nbytes for x in arrays)
+
+    def rows(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        if self.size >= self.limit or last:
+            for bucket, parts in self.held.items():
+                arrays = [np.concatenate(x) for x in zip(*(a for a, _ in parts), strict=True)]
+                yield _row(bucket, False, _pack(*arrays, text=b"\n".join(t for _, t in parts)))
+            self.held, self.size = {}, 0
+
+
 def _travel(batches: Iterator[pa.RecordBatch], size: int, gram: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    turn = 0
+    turn, gathered = 0, _Gathered()
     for batch in batches:
         for part in slices(batch.filter(batch.column("doc_id").is_valid()), "text"):
             data, offsets = text_bytes(part.column("text"))
@@ -85,27 +104,19 @@ def _travel(batches: Iterator[pa.RecordBatch], size: int, gram: int, buckets: in
                 blob = _pack(ids[doc[x]], hashes[doc[x]], start.astype(np.int32), (end[y] - begin[x]).astype(np.int32))
                 yield _row(turn % buckets, True, blob)
                 turn += 1
-            order, kind = order[~held], kind[~held]
-            target = (mix(grams[least[first[heads]]]) % np.uint64(buckets)).astype(np.int64)
+            # the others by bucket; one that occurs several times in its document is repeated
+            order = order[~held]
+            target = (mix(grams[least[first[order]]]) % np.uint64(buckets)).astype(np.int64)
+            by = np.argsort(target, kind="stable")
+            own, target = order[by], target[by]
             raw = np.where(SPACES[data], np.uint8(32), data).tobytes()
-            texts = [raw[i:j] for i, j in zip(words.start[begin[heads]].tolist(), words.end[end[heads] - 1].tolist(), strict=True)]
-            by = np.argsort(target, kind="stable")  # strings by bucket
-            place = np.empty(len(by), np.int64)
-            place[by] = np.arange(len(by))
-            member = np.argsort(place[kind], kind="stable")  # and where they occur
-            edges = np.flatnonzero(np.diff(target[by], prepend=-1, append=buckets))
-            spot, where = place[kind][member], order[member]
+            texts = [raw[i:j] for i, j in zip(words.start[begin[own]].tolist(), words.end[end[own] - 1].tolist(), strict=True)]
+            start = (begin[own] - words.first[doc[own]]).astype(np.int32)
+            edges = np.flatnonzero(np.diff(target, prepend=-1, append=buckets))
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                u, v = np.searchsorted(spot, [i, j])
-                own = where[u:v]
-                blob = _pack(
-                    ids[doc[heads[by[i:j]]]],
-                    (spot[u:v] - i).astype(np.int32),
-                    hashes[doc[own]],
-                    (begin[own] - words.first[doc[own]]).astype(np.int32),
-                    text=b"\n".join([texts[k] for k in by[i:j].tolist()]),
-                )
-                yield _row(int(target[by[i]]), False, blob)
+                gathered.add(int(target[i]), [ids[doc[own[i:j]]], hashes[doc[own[i:j]]], start[i:j]], b"\n".join(texts[i:j]))
+            yield from gathered.rows()
+    yield from gathered.rows(last=True)
 
 
 def _row(bucket: int, found: bool, blob: bytes) -> pa.RecordBatch:
@@ -132,16 +143,8 @@ def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
             yield _spans(*_unpack(blob, 4)[0])
         if not strings:
             continue
-        docs, members, hashes, starts, texts, n = [], [], [], [], [], 0
-        for blob in strings:
-            (doc, member, text_hash, start), text = _unpack(blob, 4)
-            docs.append(doc)
-            members.append(member.astype(np.int64) + n)
-            hashes.append(text_hash)
-            starts.append(start)
-            texts.append(text)
-            n += len(doc)
-        doc, member, text_hash, start = map(np.concatenate, (docs, members, hashes, starts))
+        arrays, texts = zip(*(_unpack(blob, 3) for blob in strings), strict=True)
+        doc, text_hash, start = (np.concatenate(x) for x in zip(*arrays, strict=True))
         data = np.frombuffer(b"\n".join(texts), np.uint8)
         words = split(data, np.concatenate([[0], np.flatnonzero(data == 10) + 1, [len(data)]]))
         at = starts_of(words.first, size)
@@ -159,16 +162,13 @@ def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
         late[order] = owner[order] > least
         if not late.any():
             continue
-        # windows of each string are consecutive in ``at``; strings may occur several times
+        # windows of each string are consecutive in ``at``
         per = words.counts - size + 1
-        before = np.cumsum(per) - per
-        some = np.flatnonzero(np.logical_or.reduceat(late, before)[member])
-        member, text_hash, start = member[some], text_hash[some], start[some]
-        at = ragged(before[member], per[member])
-        who = np.repeat(np.arange(len(member)), per[member])
-        x, y = runs(late[at], who)
-        begin = start[who[x]] + at[x] - before[member[who[x]]]
-        yield _spans(doc[member[who[x]]], text_hash[who[x]], begin.astype(np.int32), (y - x + size).astype(np.int32))
+        string = np.repeat(np.arange(len(per)), per)
+        x, y = runs(late, string)
+        who = string[x]
+        begin = start[who] + x - (np.cumsum(per) - per)[who]
+        yield _spans(doc[who], text_hash[who], begin.astype(np.int32), (y - x + size).astype(np.int32))
 
 
 def _spans(*columns: np.ndarray) -> pa.RecordBatch:

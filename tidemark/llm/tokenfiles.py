@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, ship
-from tidemark.llm.tokens import Encoder, crc, with_end
+from tidemark.llm.tokens import ENCODED, Encoder, crc, with_end
 from tidemark.llm.words import slices
 
 #: Ids after which a block is closed; a document is never divided between blocks.
@@ -66,7 +66,7 @@ def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, vocabulary: int,
     encoder, width = Encoder.of(tokenizer), width_of(vocabulary)
     shard, block, first = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", ENCODED):
             ids, offsets = with_end(*encoder.batch(part.column("text")), end_id)
             if len(ids) and int(ids.max()) >= vocabulary:
                 raise ValueError(f"id {ids.max()} in a vocabulary of {vocabulary}")

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from tidemark.llm.words import _BYTES, LOWER, SPACES, spans, split, text_bytes
+from tidemark.llm.words import LOWER, SPACES, prints, split, text_bytes
 
 _LETTER, _DIGIT, _SYMBOL, _OTHER = 1, 2, 3, 4
 _KIND = np.full(256, _OTHER, np.uint8)
@@ -28,6 +28,8 @@ _KIND[SPACES] = 0
 # Contractions and special tokens are for the library to find.
 _KIND[[ord("'"), ord("<")]] = _OTHER
 
+#: Bytes of text encoded at once; the more, the fewer segments recur in the next slice.
+ENCODED = 4 << 20
 #: Distinct segments whose ids a Python worker keeps between batches, and their bytes at most.
 CACHE = 400_000
 CACHE_BYTES = 40_000_000
@@ -106,7 +108,7 @@ class Encoder:
         end[:-1] = start[1:]
         end[-1] = len(data)
         np.minimum(end, words.end[word], out=end)
-        codes, _ = pd.factorize(spans(_BYTES[low], start, end))
+        codes, _ = pd.factorize(prints(low, start, end))
         sample = np.empty(codes.max() + 1, np.int64)
         sample[codes[::-1]] = np.arange(len(codes))[::-1]
         raw = low.tobytes()

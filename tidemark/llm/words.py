@@ -64,6 +64,22 @@ def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int =
     return mix((total[ends] - total[starts]) * _power(inverse, len(values) + 1)[starts] + (ends - starts).astype(_U))
 
 
+#: Bytes or words whose running sums are held at a time, so that memory does not grow with a batch.
+PIECE = 1 << 18
+
+
+def prints(data: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """Fingerprint of each of the ascending, disjoint runs of bytes, some at a time."""
+    out = np.empty(len(start), _U)
+    at = 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(end, start[at] + PIECE, "right")))
+        low, high = start[at], end[to - 1]
+        out[at:to] = spans(_BYTES[data[low:high]], start[at:to] - low, end[at:to] - low, base)
+        at = to
+    return out
+
+
 @dataclass
 class Words:
     """Words of a batch: bytes of all texts, each word's span in them, and each document's words."""
@@ -82,7 +98,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self, base: int = _BASE) -> np.ndarray:
-        return spans(_BYTES[self.data], self.start, self.end, base)
+        return prints(self.data, self.start, self.end, base)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +141,11 @@ def words_of(column: pa.Array, lower: bool = False, apart: np.ndarray = SPACES)
 def windows(hashes: np.ndarray, size: int, base: int = _BASE) -> np.ndarray:
     """Fingerprint of each ``size`` consecutive values; one at each place where so many are left."""
     n = max(0, len(hashes) - size + 1)
-    at = np.arange(n)
-    return spans(hashes, at, at + size, base)
+    out = np.empty(n, _U)
+    for low in range(0, n, PIECE):
+        at = np.arange(min(PIECE, n - low))
+        out[low : low + len(at)] = spans(hashes[low : low + len(at) + size - 1], at, at + size, base)
+    return out
 
 
 def starts_of(first: np.ndarray, size: int) -> np.ndarray:
@@ -158,8 +177,8 @@ def binaries(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
 
-#: Bytes of text handled at once; intermediates take about 60 times as much.
-SLICE = 4 << 20
+#: Bytes of text handled at once; intermediates take a few dozen times as much.
+SLICE = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE):
