@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, ship, stage
 from tidemark.llm.spans import keyed, runs
-from tidemark.llm.substrings import BUCKETS, MOVED, _by_bucket, _pack, _row, _unpack
+from tidemark.llm.substrings import BUCKETS, MOVED, _by_bucket, _Gathered, _pack, _row, _unpack
 from tidemark.llm.tokens import ragged
 from tidemark.llm.words import mix, slices, sliding_argmin, split, starts_of, text_bytes, windows
 
 #: Words of a passage, and of a suffix's head.
 SIZE, HEAD = 50, 8
-FOUND = "doc_id long, text_hash long, start int, n int, earlier long"
+FOUND = "doc_id long, text_hash int, start int, n int, earlier long"
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], size: int, head: int) -> Iterator[pa.RecordBatch]:
@@ -65,7 +65,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], size: int, head: int) -> Iterat
 
 def _extend(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Fingerprints of the passages around each suffix, by bucket; and passages found in the slice."""
-    turn = 0
+    turn, gathered = 0, _Gathered()
     for batch in batches:
         for part in slices(batch, "text"):
             words = split(*text_bytes(part.column("text")))
@@ -91,7 +91,9 @@ def _extend(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Itera
             edges = np.flatnonzero(np.diff(target[some], prepend=-1, append=buckets))
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 k = some[i:j]
-                yield _row(int(target[k[0]]), False, _pack(ids[k], hashes[k], start[k].astype(np.int32), n[k].astype(np.int32), print_[ragged(begin[k], n[k])]))
+                gathered.add(int(target[k[0]]), [ids[k], hashes[k], start[k].astype(np.int32), n[k].astype(np.int32), print_[ragged(begin[k], n[k])]])
+            yield from gathered.rows()
+    yield from gathered.rows(last=True)
 
 
 def _compare(print_: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,13 +139,13 @@ def earlier_passages(docs: DataFrame, size: int = SIZE, head: int = HEAD) -> Dat
     ship(spark)
     parts = partitions(spark)
     rows = keyed(docs).where("doc_id IS NOT NULL")
-    suffixes = stage(rows.mapInArrow(lambda it: _suffixes(it, size, head), "doc_id long, text_hash long, head long, start int, n int"), "suffixes")
+    suffixes = stage(rows.mapInArrow(lambda it: _suffixes(it, size, head), "doc_id long, text_hash int, head long, start int, n int"), "suffixes")
     shared = suffixes.groupBy("head").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("head")
     left = suffixes.join(shared, "head", "left_semi")
     listed = left.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n", "head")).alias("suffixes"))
-    # a repeated row would list its suffixes twice
+    # A repeated row would list its suffixes twice. Lists grow with the corpus: both sides are shuffled.
     listed = listed.withColumn("suffixes", F.array_distinct("suffixes"))
-    with_lists = rows.join(listed, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "suffixes.start", "suffixes.n", "suffixes.head")
+    with_lists = rows.join(listed.hint("merge"), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "suffixes.start", "suffixes.n", "suffixes.head")
     buckets = parts * BUCKETS
     moved = with_lists.mapInArrow(lambda it: _extend(it, size, buckets), MOVED)
     return moved.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _meet(it, size), FOUND)
@@ -153,7 +155,7 @@ def passages(docs: DataFrame, size: int = SIZE, head: int = HEAD) -> DataFrame:
     """One row per found passage, whole: doc_id, text_hash, start (in words), n_words, earlier_doc_id."""
     listed = earlier_passages(docs, size, head).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n", "earlier")).alias("found"))
     flat = listed.select("doc_id", "text_hash", "found.start", "found.n", "found.earlier")
-    return flat.mapInArrow(_merge, "doc_id long, text_hash long, start long, n_words long, earlier_doc_id long")
+    return flat.mapInArrow(_merge, "doc_id long, text_hash int, start long, n_words long, earlier_doc_id long")
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
