@@ -291,8 +291,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long"), "text").withColumn("text_hash", F.xxhash64("text"))
     wanted = hopeful.select("doc_id", "text_hash").distinct()
-    # a repeated row would be its own partner
-    texts = texts.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+    # Wanted ids grow with the corpus, so both sides are shuffled at any size. A repeated row would be its
+    # own partner.
+    texts = texts.join(wanted.hint("merge"), ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
     compared = hopeful.join(texts, ["doc_id", "text_hash"]).select("hub", "one", "two", "chunk", "doc_id", "text")
     links = _grouped(compared, parts).mapInArrow(_verify, "a long, b long")
 
