@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.words import slices, split, text_bytes
+from tidemark.llm.words import Words, slices, split, text_bytes
 
 SPANS = "doc_id long, text_hash int, start int, n int"
 
@@ -49,24 +51,24 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
 def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the words of ``spans`` and the white space after each of them taken out of their
     texts, and n_chars counted anew for these; all other rows stay as they are, nulls too."""
-    rows = with_spans(docs, spans)
-    columns = docs.columns
-    changed = rows.where("spans IS NOT NULL")
-    rest = changed.select(*columns, "spans.start", "spans.n") if not {"start", "n"} & set(columns) else None
-    if rest is None:
-        raise ValueError("columns named start or n have to be set aside first")
-    cut = rest.mapInArrow(_without, docs.schema).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*columns)
-    return rows.where("spans IS NULL").select(*columns).unionAll(cut)
+    listed = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
+    listed = listed.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
+    same = (docs["doc_id"] == F.col("_doc")) & (F.hash(docs["text"]) == F.col("_hash"))
+    rows = docs.join(listed.hint("merge"), same, "left").select(*(docs[x] for x in docs.columns), F.col("_spans.start").alias("_start"), F.col("_spans.n").alias("_n"))
+    kinds = T.StructType([*docs.schema.fields, T.StructField("_cut", T.BooleanType())])
+    cut = rows.mapInArrow(_without, kinds)
+    n_chars = F.when(F.col("_cut"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
-def _flags(part: pa.RecordBatch, words) -> np.ndarray:
+def _flags(part: pa.RecordBatch, words: Words, start: str = "start", n: str = "n") -> np.ndarray:
     """Whether each word is in one of its document's spans."""
     edges = np.zeros(len(words.start) + 1, np.int64)
-    lists = part.column("start")
+    lists = part.column(start)
     doc = np.repeat(np.arange(len(part)), np.diff(lists.offsets.to_numpy()) * lists.is_valid().to_numpy(zero_copy_only=False))
-    start = words.first[doc] + lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    np.add.at(edges, start, 1)
-    np.add.at(edges, start + part.column("n").flatten().to_numpy(zero_copy_only=False), -1)
+    begin = words.first[doc] + lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    np.add.at(edges, begin, 1)
+    np.add.at(edges, begin + part.column(n).flatten().to_numpy(zero_copy_only=False), -1)
     return np.cumsum(edges[:-1]) > 0
 
 
@@ -75,7 +77,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             data, offsets = text_bytes(part.column("text"))
             words = split(data, offsets)
-            gone = np.flatnonzero(_flags(part, words))
+            gone = np.flatnonzero(_flags(part, words, "_start", "_n"))
             # up to the next word of the document or its end
             after = np.append(words.start, len(data))[gone + 1]
             edges = np.zeros(len(data) + 1, np.int8)
@@ -83,8 +85,10 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(edges, np.minimum(after, offsets[words.doc[gone] + 1]), -1)
             kept = np.cumsum(edges[:-1], dtype=np.int8) == 0
             text = strings(data[kept], np.append(0, np.cumsum(kept))[offsets[1:]])
-            columns = [text if f.name == "text" else part.column(f.name) for f in part.schema if f.name not in ("start", "n")]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in part.schema if f.name not in ("start", "n")])
+            text = pc.if_else(part.column("text").is_valid(), text, pa.scalar(None, pa.string()))
+            names = [x for x in part.schema.names if x not in ("_start", "_n")]
+            columns = [text if x == "text" else part.column(x) for x in names]
+            yield pa.RecordBatch.from_arrays([*columns, part.column("_start").is_valid()], [*names, "_cut"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +105,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def joined(data: np.ndarray, words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def joined(data: np.ndarray, words: Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the kept words of each document, joined by one space, and each document's end in them."""
     at = np.flatnonzero(kept)
     # a kept word takes its bytes and, if another one of its document follows, the byte after it
