@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, licences, neardups, packing, quality, substrings, suffixes, tokenfiles, toxicity
 from tidemark.llm.common import fold, place, table
+from tidemark.llm.oracles import ORACLES as ORACLES
 
 #: Vocabulary of the tokenizer file, with its two special tokens.
 VOCABULARY = 49_408
@@ -82,4 +83,3 @@ QUERIES = {
         op10_segment_toxicity,
     )
 }
-ORACLES: dict[str, str] = {}
