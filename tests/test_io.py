@@ -138,13 +138,20 @@ def test_scheduled_runs_end_to_end(spark, mapping, tmp_path):
     assert jobs.run_snapshot(*args, T0 + SLOT) == "incremental"  # a repeated run
     second = readers.read_snapshot(spark, out["snapshots"], T0 + 2 * SLOT)
     assert rows(second, "post_id", "views", "post_day0_locks", "post_day0_initiates") == [
-        ("p0", 2, 2, 1),
+        ("p0", 2, 2, 2),  # both locks pair with the later initiate
         ("p1", 0, 0, 0),
     ]
+    assert jobs.run_snapshot(*args, T0 + SLOT, faithful_delta=True) == "incremental"
+    faithful = readers.read_snapshot(spark, out["snapshots"], T0 + 2 * SLOT)
+    assert rows(faithful, "post_id", "post_day0_initiates") == [("p0", 1), ("p1", 0)]
+    assert jobs.run_snapshot(*args, T0 + SLOT) == "incremental"
     # Snapshots lie under the feed's date, labels under the UTC date of the view.
     utc = shift_day(date, -1) if run_params(T0).slot < "0530" else date
     for _ in range(2):
         jobs.run_labels(spark, events, out["snapshots"], out["labels"], utc, date)
+    options = dict(window="horizon3d", day0="first_call", per_view=True, lag_ms=0)
+    jobs.run_labels(spark, events, out["snapshots"], str(tmp_path / "other"), utc, date, **options)
+    assert rows(readers.labels_table(spark, str(tmp_path / "other")), "user_id", "y") == [("u", 1)]
     labels = readers.labels_table(spark, out["labels"])
     assert rows(labels, "user_id", "post_id", "run_ts", "y") == [
         ("u", "p0", T0, 1),

@@ -5,8 +5,8 @@ from compare import connect, difference
 
 import __spark_entry__ as contract
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = contract.catalog.queries()
+ORACLES = contract.oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,11 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
     assert difference(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_no_query_is_empty(duck, name):
+    assert duck.execute(f"SELECT count(*) FROM ({ORACLES[name]})").fetchone()[0] > 0
+
+
 def test_stratified_sample_keeps_full_classes(spark, sf_dir):
     sample = QUERIES["stratified_sample"](spark, sf_dir)
     labels = QUERIES["labels_same_day"](spark, sf_dir)

@@ -17,16 +17,16 @@ from tidemark.sources import readers
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "ExistingRDD")
 
 # These write tables and return a plain scan of them, or end in a driver-made empty frame.
-WRITERS = {n for n in contract.queries() if n.startswith(("roundtrip_", "registered_", "stream_"))}
+WRITERS = {n for n in contract.catalog.queries() if n.startswith(("roundtrip_", "registered_", "stream_"))}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(contract.catalog.queries()) - WRITERS))
 def test_no_pairing_and_no_python(spark, sf_dir, name):
-    text = plan(contract.queries()[name](spark, sf_dir))
+    text = plan(contract.catalog.queries()[name](spark, sf_dir))
     assert not [word for word in FORBIDDEN if word in text]
 
 

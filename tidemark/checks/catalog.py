@@ -54,12 +54,13 @@ from tidemark.operators.posts import (
 from tidemark.plans import snapshots as plans
 from tidemark.session import tune
 from tidemark.sources import readers, sinks
-from tidemark.streaming.snapshots import stream_snapshots
+from tidemark.streaming.snapshots import read_event_stream, stream_snapshots
 from tidemark.vocab import VOCAB_A, VOCAB_B
 
 SINCE = shift_day(run_params(RUN_TS).date, -7)
 BOUNDS = window_bounds(REF)
 CARRY_CUTOFF = RUN_TS - 7 * DAY_MS
+TIMING_DATE = "2024-01-11"
 
 _QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {}
 
@@ -84,10 +85,6 @@ def _recent(f: Fixtures) -> DataFrame:
     return f.events.filter(on_dates(BOUNDS.first_date, BOUNDS.last_date))
 
 
-def _current(f: Fixtures) -> DataFrame:
-    return plans.window_events(f.events, RUN_TS)
-
-
 # Events and user sets
 
 
@@ -347,6 +344,11 @@ def creator_verified(f):
     return creators.creator_verified(f.posts)
 
 
+@_query
+def creator_verified_none(f):
+    return creators.creator_verified(f.posts, "none")
+
+
 @_query
 def creator_features_events(f):
     return creators.creator_features(f.posts, locks(_recent(f)), initiates(_recent(f)), REF)
@@ -434,7 +436,7 @@ def labels_multi_window(f):
 
 @_query
 def outcome_7d(f):
-    return labels.outcome_7d(_all_views(f), f.events)
+    return labels.outcome_7d(_all_views(f), f.events, START, END)
 
 
 @_query
@@ -454,12 +456,12 @@ def label_freshness(f):
 
 @_query
 def conversion_timing(f):
-    return quality.conversion_timing(f.labels(), f.events, TODAY)
+    return quality.conversion_timing(f.labels(), f.events, TIMING_DATE)
 
 
 @_query
 def loo_counts(f):
-    return leakage.loo_counts(_all_views(f), f.events)
+    return leakage.loo_counts(_all_views(f), f.events, until=END)
 
 
 # Snapshots
@@ -472,6 +474,14 @@ def snapshot_a_full(f):
 
 @_query
 def snapshot_a_incremental(f):
+    recent = f.events.filter(on_dates(run_params(PREV_RUN_TS, "UTC").date, TODAY))
+    return plans.snapshot_advanced(
+        f.state, f.previous, _today(f), recent, RUN_TS, PREV_RUN_TS, f.mapping
+    )
+
+
+@_query
+def snapshot_a_faithful_delta(f):
     return plans.snapshot_incremental(
         f.previous, _today(f), f.events, RUN_TS, PREV_RUN_TS, f.mapping
     )
@@ -501,11 +511,26 @@ def snapshot_b_three_lookups(f):
     )
 
 
+@_query
+def snapshot_b_with_state(f):
+    return plans.snapshot_b(f.events, latest_posts(f.dumps, "strict"), RUN_TS, f.mapping)
+
+
 @_query
 def rank_posts(f):
     return quality.rank_posts(snapshot_a_full(f))
 
 
+@_query
+def rank_posts_by_trials(f):
+    return quality.rank_posts(snapshot_a_full(f), "post_day0_trials_per_view")
+
+
+@_query
+def rank_posts_by_initiates_per_view(f):
+    return quality.rank_posts(snapshot_a_full(f), "post_day0_initiates_per_view")
+
+
 @_query
 def run_summary(f):
     return quality.run_summary(snapshot_a_incremental(f), f.previous)
@@ -513,19 +538,24 @@ def run_summary(f):
 
 @_query
 def stream_snapshot(f):
+    """Three batches: any event may come late, some come twice, some lie after the run."""
     folder = f.scratch()
-    raw = f.spark.readStream.schema(f.raw("events").schema).parquet(f"{f.sf_dir}/events*.parquet")
-    seen = f.events_from(raw).filter(F.col("event_time") < RUN_TS)
-    writer = stream_snapshots(
-        seen,
-        out=f"{folder}/snapshots",
-        state_dir=f"{folder}/state",
-        checkpoint=f"{folder}/checkpoint",
-        posts_at=lambda run_ts: f.truthy_posts,
-        mapping=f.mapping,
-        clock=lambda batch_id: RUN_TS,
-    )
-    writer.trigger(availableNow=True).start().awaitTermination()
+    number = F.col("event_id").cast("bigint")
+    runs = [PREV_RUN_TS, RUN_TS - 900_000, RUN_TS]
+    for n in range(len(runs)):
+        again = (number % 7 == 0) & (number % len(runs) < n)
+        arrived = f.events.filter((number % len(runs) == n) | again)
+        arrived.write.mode("append").parquet(f"{folder}/in")
+        writer = stream_snapshots(
+            read_event_stream(f.spark, f"{folder}/in"),
+            out=f"{folder}/snapshots",
+            state_dir=f"{folder}/state",
+            checkpoint=f"{folder}/checkpoint",
+            posts_at=lambda run_ts: f.truthy_posts,
+            mapping=f.mapping,
+            clock=lambda batch_id: runs[batch_id],
+        )
+        writer.trigger(availableNow=True).start().awaitTermination()
     return readers.read_snapshot(f.spark, f"{folder}/snapshots", RUN_TS + 60_000)
 
 
@@ -667,3 +697,48 @@ def registered_tables(f):
     return counts[0].unionByName(counts[1])
 
 
+@_query
+def roundtrip_place_object(f):
+    path = f.scratch()
+    entry = F.struct("district_name", "state_name", "state_pid")
+    whole = F.to_json(F.map_from_entries(F.collect_list(F.struct("district_pid", entry))))
+    f.mapping.agg(whole.alias("value")).write.text(path)
+    return readers.read_place_map(f.spark, path)
+
+
+@_query
+def roundtrip_places(f):
+    path = f.scratch()
+    f.places.agg(F.to_json(F.collect_list(F.struct(*f.places.columns))).alias("value")).write.text(path)
+    return readers.read_places(f.spark, path).select(*f.places.columns)
+
+
+@_query
+def roundtrip_iso_times(f):
+    """Snapshot rows whose run time is ISO text."""
+    base, run = f.scratch(), run_params(RUN_TS)
+    rows = snapshot_a_full(f).withColumn("run_ts", F.lit(run.iso))
+    rows.write.json(f"{base}/date={run.date}/run={run.slot}")
+    return readers.snapshots_table(f.spark, base, TODAY, TODAY).select(*schemas.SNAPSHOT_COLUMNS)
+
+
+@_query
+def roundtrip_cold_start(f):
+    base = f.scratch()
+    sinks.write_snapshot(snapshot_a_full(f), base, RUN_TS)
+    days = [shift_day(TODAY, n) for n in (0, 1, 2)]
+    return f.spark.createDataFrame([(d, readers.is_cold_start(f.spark, base, d)) for d in days], "date string, cold boolean")
+
+
+@_query
+def roundtrip_corrected_labels(f):
+    """A range written again after one of its dates lost all its labels."""
+    base, owned = f.scratch(), sinks.dates_between(START, END)
+    sinks.write_labels(f.labels(), base, owned)
+    sinks.write_labels(f.labels().filter(F.col("date") != TIMING_DATE), base, owned)
+    return f.spark.read.schema(schemas.LABELS).parquet(base)
+
+
+@_query
+def finished_table(f):
+    return readers.as_table(f.labels(), f"tidemark_finished_{uuid.uuid4().hex}")

@@ -14,13 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import age_zero, floor_div, has_post, on_dates, run_params, shift_day
+from tidemark.functions import (
+    age_zero,
+    floor_div,
+    has_post,
+    ms_to_day,
+    on_dates,
+    run_params,
+    shift_day,
+    window_bounds,
+)
+from tidemark.functions.dates import FEED_TZ
 from tidemark.operators.asof import HOUR_MS
 from tidemark.operators.events import parse_events
 from tidemark.operators.labels import create_labels
+from tidemark.operators.partials import post_partials, user_partials
 from tidemark.operators.posts import latest_posts, place_map, with_state
 from tidemark.plans.daily import daily_features
-from tidemark.plans.snapshots import snapshot_full, with_rates
+from tidemark.plans.snapshots import snapshot_full, window_events, with_rates
 from tidemark.session import shared_dir
 
 RUN_TS = 1_705_838_400_000  # 2024-01-21 12:00 UTC, 17:30 in the feed's zone
@@ -264,7 +275,7 @@ class Fixtures:
             self.events, "post_id", "user_age", "is_locked", "from_post", "duration"
         ).filter(has_post())
         slot = (floor_div(F.col("event_time"), SLOT_MS) * SLOT_MS).alias("run_ts")
-        counts = parsed.groupBy("post_id", slot, "date").agg(
+        counts = parsed.groupBy("post_id", slot).agg(
             F.count_if(locked).alias("views"),
             F.count_if(name == "post_shared").alias("shareCount"),
             F.count_if(name == "media_clicked").alias("mediaClickedCount"),
@@ -281,18 +292,23 @@ class Fixtures:
         )
         located = with_state(self.posts, self.mapping)
         rows = counts.join(located, "post_id").withColumn("listenpct", F.lit(0.0))
-        return with_rates(rows, "a").select(*schemas.SNAPSHOT_COLUMNS, "date")
+        # filed by the day of the run in the feed's zone, as the writer of snapshots does
+        filed = with_rates(rows, "a").withColumn("date", ms_to_day(F.col("run_ts"), FEED_TZ))
+        return filed.select(*schemas.SNAPSHOT_COLUMNS, "date")
 
     @property
     def features(self) -> dict[str, DataFrame]:
-        """The daily feature tables of the reference date, under several dates."""
+        """The daily feature tables of several dates, each worked out for its own date."""
         built: dict[str, DataFrame] = {}
 
         def table(kind: str) -> DataFrame:
-            if not built:
-                built.update(daily_features(self.posts, self.events, self.mapping, REF))
-            dates = F.explode(F.array(*[F.lit(d) for d in FEATURE_DATES])).alias("date")
-            return built[kind].select("*", dates)
+            for date in FEATURE_DATES if not built else ():
+                bounds = window_bounds(date)
+                events = self.events.filter(on_dates(bounds.first_date, bounds.last_date))
+                for name, rows in daily_features(self.posts, events, self.mapping, date).items():
+                    rows = rows.withColumn("date", F.lit(date))
+                    built[name] = built[name].unionByName(rows) if name in built else rows
+            return built[kind]
 
         return {
             kind: self._stored(kind, lambda kind=kind: table(kind), "date")
@@ -310,6 +326,13 @@ class Fixtures:
 
         return self._stored("previous", build)
 
+    @property
+    def state(self) -> tuple[DataFrame, DataFrame]:
+        """Counters of the events up to the run before, as a scheduled run leaves them."""
+        seen = lambda: window_events(self.events, PREV_RUN_TS)
+        by_post = self._stored("state_post", lambda: post_partials(seen()), "date")
+        return by_post, self._stored("state_user", lambda: user_partials(seen()), "date")
+
     def labels(self, window: str = "same_day") -> DataFrame:
         build = lambda: create_labels(self.events, self.grid, START, END, window)
         return self._stored(f"labels_{window}", build, "date")

@@ -2,70 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import floor_div
-from tidemark.skew import salted_lookup
 
 HOUR_MS = 3_600_000
 
 
-def run_calendar(snapshots: DataFrame, bucket_ms: int, final: Column) -> DataFrame:
-    """Per post and time bucket: the runs inside it and the last run before it.
+def run_calendar(snapshots: DataFrame, wanted: DataFrame, bucket_ms: int) -> DataFrame:
+    """For each wanted (post, bucket): the runs inside it and the last run before it.
 
-    Buckets between two runs are filled in, up to bucket ``final``, which lies past every run
-    and stands for all later time. Rows per post are bounded by the buckets of the period
-    and runs per row by the runs a bucket can hold; neither grows with the views.
+    Only runs of wanted posts are read on. The last run is carried forward over one row per post
+    and bucket that holds a run or is wanted, so a window group is bounded by the buckets of the
+    period, and no row is made for time nobody asks about.
     """
-    bucketed = (
+    posts = wanted.select("post_id").distinct()
+    runs = (
         snapshots.select("post_id", "run_ts")
-        .distinct()
+        .join(posts, "post_id", "left_semi")
         .withColumn("bucket", floor_div(F.col("run_ts"), bucket_ms))
-        .groupBy("post_id", "bucket")
-        .agg(F.collect_list("run_ts").alias("runs"), F.max("run_ts").alias("last_run"))
-    )
-    by_post = Window.partitionBy("post_id").orderBy("bucket")
-    filled = (
-        bucketed.withColumn("before", F.lag("last_run").over(by_post))
-        .withColumn("next", F.coalesce(F.lead("bucket").over(by_post), final + 1))
-        .withColumn("b", F.explode(F.sequence(F.col("bucket"), F.col("next") - 1)))
+        .select("post_id", "bucket", "run_ts", F.lit(False).alias("wanted"))
     )
-    is_own = F.col("b") == F.col("bucket")
-    return filled.select(
-        "post_id",
-        F.col("b").alias("bucket"),
-        F.when(is_own, F.col("runs")).alias("runs"),
-        F.when(is_own, F.col("before")).otherwise(F.col("last_run")).alias("prev_run"),
+    none = F.lit(None).cast("bigint")
+    asked = wanted.select("post_id", "bucket", none.alias("run_ts"), F.lit(True).alias("wanted"))
+    filed = (
+        runs.unionByName(asked)
+        .groupBy("post_id", "bucket")
+        .agg(
+            F.collect_set("run_ts").alias("runs"),
+            F.max("run_ts").alias("last_run"),
+            F.bool_or("wanted").alias("wanted"),
+        )
     )
+    earlier = Window.partitionBy("post_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = filed.withColumn("prev_run", F.max("last_run").over(earlier))
+    return carried.filter("wanted").select("post_id", "bucket", "runs", "prev_run")
 
 
 def asof_snapshot(
-    views: DataFrame,
-    snapshots: DataFrame,
-    lag_ms: int = 0,
-    bucket_ms: int = 6 * HOUR_MS,
-    until_ms: int | None = None,
+    views: DataFrame, snapshots: DataFrame, lag_ms: int = 0, bucket_ms: int = 6 * HOUR_MS
 ) -> DataFrame:
     """Adds ``run_ts``, the latest run at or before each view; views with none are dropped.
 
     Views repeat a (user, post, time) at most once in the result. ``lag_ms`` asks for a run
-    that is at least so much older than the view. ``until_ms``, a time no run comes after,
-    saves looking up the last run of the table.
+    that is at least so much older than the view. The bucket in the key divides a hot post by
+    time, and Spark splits what remains of one.
     """
-    if until_ms is None:
-        last = snapshots.agg((floor_div(F.max("run_ts"), bucket_ms) + 1).alias("final"))
-        final = last.scalar()
-    else:
-        final = F.lit(until_ms // bucket_ms + 1).cast("bigint")
-    calendar = run_calendar(snapshots, bucket_ms, final)
     probe = F.col("view_time") - lag_ms
-    keyed = views.distinct().withColumn("bucket", F.least(floor_div(probe, bucket_ms), final))
-    # The bucket already divides a hot post by time.
-    matched = salted_lookup(
-        keyed, calendar, ["post_id", "bucket"], ["user_id", "view_time"], how="inner", salts=4
-    )
+    keyed = views.distinct().withColumn("bucket", floor_div(probe, bucket_ms))
+    keys = ["post_id", "bucket"]
+    calendar = run_calendar(snapshots, keyed.select(*keys).distinct(), bucket_ms)
+    matched = keyed.join(calendar, keys)
     inside = F.array_max(F.filter("runs", lambda run: run <= probe))
     return (
         matched.withColumn("run_ts", F.coalesce(inside, F.col("prev_run")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import default, flag01, in_window, window_bounds
+from tidemark.functions import default, in_window, window_bounds
 from tidemark.functions.dates import FEED_TZ
 
 
@@ -28,14 +28,25 @@ def creator_prior(
     prior = lambda df, column: df.filter(
         in_window(column, bounds.prior_start, bounds.prior_end)
     )
-    owned = prior(posts, "created_ts")
-    lock_counts = _per_creator(prior(locks, "event_time"), owned, "locks")
-    init_counts = _per_creator(prior(initiates, "event_time"), owned, "initiates")
-    return (
-        lock_counts.join(init_counts, "creatorID", "left")
-        .withColumn("initiates", default(F.col("initiates"), 0))
-        .withColumn("creator_prior_rate", F.col("initiates") / F.col("locks"))
-        .withColumn("creator_has_prior", flag01(F.col("locks") > 0))
+    kind = lambda df, lock: prior(df, "event_time").select("post_id", F.lit(lock).alias("_lock"))
+    per_post = (
+        kind(locks, True)
+        .unionByName(kind(initiates, False))
+        .groupBy("post_id")
+        .agg(F.count_if("_lock").alias("_l"), F.count_if(~F.col("_lock")).alias("_i"))
+    )
+    owners = prior(posts, "created_ts").select("post_id", "creatorID")
+    # A post without an owner's id has nobody whose initiates it could add to.
+    begun = F.sum(F.when(F.col("creatorID").isNotNull(), F.col("_i")))
+    history = owners.join(per_post, "post_id").groupBy("creatorID").agg(
+        F.sum("_l").alias("locks"), default(begun, 0).alias("initiates")
+    )
+    return history.filter("locks > 0").select(
+        "creatorID",
+        "locks",
+        "initiates",
+        (F.col("initiates") / F.col("locks")).alias("creator_prior_rate"),
+        F.lit(1).alias("creator_has_prior"),
     )
 
 
@@ -118,13 +129,17 @@ def creator_features(
             views.alias("creator_viewcount"),
         )
     )
-    rates = (
-        _all_creators(posts, rates)
-        if keep_all
-        else rates.filter(F.col("creator_has_prior").isNotNull())
-    )
-    return rates.join(creator_verified(posts), "creatorID", "left").fillna(
-        {"creator_viewcount": 0, "creator_verified": False}
+    if not keep_all:
+        rates = rates.filter(F.col("creator_has_prior").isNotNull())
+    flags = posts.groupBy("creatorID").agg(F.max(default(F.col("isReporter"), False)).alias("_reports"))
+    known = flags.filter(F.col("creatorID").isNotNull())
+    rows = (_all_creators(posts, rates) if keep_all else rates).join(known, "creatorID", "left")
+    return rows.select(
+        "creatorID",
+        "creator_prior_rate",
+        "creator_has_prior",
+        default(F.col("creator_viewcount"), 0).alias("creator_viewcount"),
+        default(F.col("_reports"), False).alias("creator_verified"),
     )
 
 

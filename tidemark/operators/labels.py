@@ -27,7 +27,6 @@ from tidemark.functions import (
 from tidemark.functions.scalars import DAY_MS
 from tidemark.operators.asof import asof_snapshot
 from tidemark.operators.events import day0_users, initiates, locks, only_day0, trials
-from tidemark.skew import salted_lookup
 from tidemark.vocab import VOCAB_A, Vocabulary
 
 
@@ -110,9 +109,11 @@ def flag_conversions(
     tz: str = "UTC",
 ) -> DataFrame:
     """Adds boolean ``name``: an event of the same keys follows the view in its window."""
-    reach = conversion_reach(events, keys, policy, tz)
+    # Few of all users have a view, so conversions of the others go no further.
+    users = views.select("user_id").distinct()
+    reach = conversion_reach(events.join(users, "user_id", "left_semi"), keys, policy, tz)
     keyed = views.withColumn("bucket", policy.bucket(F.col("view_time"), tz))
-    found = salted_lookup(keyed, reach, [*keys, "bucket"], ["user_id", "post_id", "view_time"])
+    found = keyed.join(reach, [*keys, "bucket"], "left")
     follows = F.col("latest") >= F.col("view_time")
     if policy.width_ms is not None:
         inside = F.col("next_earliest") < F.col("view_time") + policy.width_ms
@@ -223,12 +224,18 @@ def matched_views(
 ) -> DataFrame:
     """Day-0 views of a date range, each with the snapshot that preceded it.
 
-    A snapshot's ``date`` is the day of its run in some zone, so no run of the range comes
-    after the day that follows it.
+    Runs count from a day before the range on, so that views shortly after midnight find theirs.
+    The run's time decides; its folder ``date`` is a day in some zone and only narrows the scan.
     """
     views = post_views(events, start, end, day0, vocab)
-    until = day_ms(shift_day(end, 2), "UTC")
-    return asof_snapshot(views, snapshots.filter(on_dates(start, end)), lag_ms, until_ms=until)
+    return asof_snapshot(views, runs_of(snapshots, start, end), lag_ms)
+
+
+def runs_of(snapshots: DataFrame, start: str, end: str) -> DataFrame:
+    """Snapshots that views of a range of UTC days can match, whatever zone names the folders."""
+    first, last = day_ms(shift_day(start, -1), "UTC"), day_ms(shift_day(end, 1), "UTC")
+    folders = on_dates(shift_day(start, -2), shift_day(end, 1))
+    return snapshots.filter(folders & (F.col("run_ts") >= first) & (F.col("run_ts") < last))
 
 
 def create_labels(
@@ -283,11 +290,19 @@ def multi_window_labels(
     )
 
 
-def outcome_7d(views: DataFrame, events: DataFrame, vocab: Vocabulary = VOCAB_A) -> DataFrame:
+def outcome_7d(
+    views: DataFrame,
+    events: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    vocab: Vocabulary = VOCAB_A,
+) -> DataFrame:
     """Per (user, post): initiate and trial flags of the user within seven days of any view.
 
-    Here neither event is tied to the post.
+    Here neither event is tied to the post. ``start`` and ``end`` are the view dates; with them
+    the event scan is bounded as well.
     """
+    events = events.filter(on_dates(start, None if end is None else shift_day(end, WITHIN_7D.scan_days)))
     flagged = views.distinct()
     for name, event in (("initiated", vocab.initiate), ("trialed", vocab.trial)):
         found = events.filter(named(event)).select("user_id", "event_time")

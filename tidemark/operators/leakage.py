@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions import floor_div, has_post, named
+from tidemark.functions import floor_div, has_post, named, on_dates
 from tidemark.operators.events import parse_events
 from tidemark.vocab import VOCAB_A, Vocabulary
 
@@ -65,25 +65,38 @@ def default_measures(vocab: Vocabulary = VOCAB_A) -> dict[str, Column]:
         "views": name == vocab.seen,
         "locks": (name == vocab.locked) & (F.col("is_locked") == "true"),
         "initiates": (name == vocab.initiate) & (F.col("from_post") == "true"),
+        "shares": name == vocab.shared,
+        "reactions": name == vocab.reaction,
+        "comments": name == vocab.comment,
+        "media_clicks": name == vocab.media_click,
+        "read_mode": name == vocab.read_mode,
     }
 
 
+def counted_events(vocab: Vocabulary = VOCAB_A) -> list[str]:
+    """Names of the events that the default measures count."""
+    engaged = [vocab.shared, vocab.reaction, vocab.comment, vocab.media_click, vocab.read_mode]
+    return [vocab.seen, vocab.locked, vocab.initiate, *engaged]
+
+
 def loo_counts(
     views: DataFrame,
     events: DataFrame,
     measures: Mapping[str, Column] | None = None,
     vocab: Vocabulary = VOCAB_A,
+    until: str | None = None,
 ) -> DataFrame:
     """Adds ``<measure>_other_users`` to each distinct (user, post, view time).
 
     Events of others before the view are all events before it less the user's own. Rows
     without a user or post belong to nobody and are left out at the source: every branch
-    then starts from the same shuffled rows, which Spark reads once.
+    then starts from the same shuffled rows, which Spark reads once. ``until``, the date of the
+    last view, bounds the scan.
     """
     measures = measures or default_measures(vocab)
     names = list(measures)
     parsed = parse_events(
-        events.filter(named([vocab.seen, vocab.locked, vocab.initiate])),
+        events.filter(named(counted_events(vocab)) & on_dates(None, until)),
         "post_id",
         "is_locked",
         "from_post",

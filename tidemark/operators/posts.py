@@ -166,15 +166,15 @@ def users_from_table(df: DataFrame) -> DataFrame:
 
 def place_map(places: DataFrame, how: str = "inner") -> DataFrame:
     """District to state. ``left`` keeps districts whose parent is not a known state."""
-    districts = places.filter(place_type("DISTRICT")).select(
-        F.col("id").alias("district_pid"),
-        F.col("name").alias("district_name"),
-        F.col("parentId").alias("state_pid"),
+    own, parent = places.alias("own"), places.alias("parent")
+    ty = F.col("parent.ty")
+    tree = own.join(parent, (F.col("own.parentId") == F.col("parent.id")) & (ty == "STATE"), how)
+    return tree.filter(F.col("own.ty") == "DISTRICT").select(
+        F.col("own.id").alias("district_pid"),
+        F.col("own.name").alias("district_name"),
+        F.col("parent.name").alias("state_name"),
+        F.col("own.parentId").alias("state_pid"),
     )
-    states = places.filter(place_type("STATE")).select(
-        F.col("id").alias("state_pid"), F.col("name").alias("state_name")
-    )
-    return districts.join(states, "state_pid", how).select(*schemas.PLACE_MAP.fieldNames())
 
 
 def place_orphans(places: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import age_hours, classified, default, ms_to_day, ratio_or_null
+from tidemark.functions import age_hours, classified, default, ms_to_day, ratio_or_null, shift_day
 from tidemark.skew import hot_key_lookup, salted_lookup
 
 # ratio column -> counter divided by views
@@ -110,9 +110,9 @@ def training_data(
     day = ms_to_day(F.col("run_ts"), tz)
     wanted = labels.filter(day.between(start, end)).select("user_id", "post_id", "run_ts", "y")
     keys = ["post_id", "run_ts"]
-    used = snapshots.filter(F.col("date").between(start, end)).join(
-        wanted.select(*keys).distinct(), keys, "left_semi"
-    )
+    # The day of the run decides; its folder date is a day in some zone.
+    near = F.col("date").between(shift_day(start, -1), shift_day(end, 1))
+    used = snapshots.filter(near).join(wanted.select(*keys).distinct(), keys, "left_semi")
     rows = with_daily_features(
         used.select(*schemas.SNAPSHOT_COLUMNS), features, tz, feature_lag_days
     ).select(
@@ -131,7 +131,7 @@ def with_serving_context(requests: DataFrame, posts: DataFrame) -> DataFrame:
     ``serving_lang`` and ``tier``; ``posts`` holds ``location_pid`` and ``post_state``.
     """
     known = posts.select("post_id", "location_pid", "post_state")
-    rows = salted_lookup(requests, known, ["post_id"], ["user_id", "event_time"])
+    rows = hot_key_lookup(requests, known, ["post_id"], ["user_id", "event_time"])
     same = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
     return rows.select(
         *requests.columns,

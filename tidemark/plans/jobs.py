@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import day_ms, run_params, shift_day, window_bounds
 from tidemark.functions.dates import FEED_TZ
+from tidemark.functions.scalars import DAY_MS
 from tidemark.operators.labels import (
     POLICIES,
     flag_views,
@@ -15,11 +19,11 @@ from tidemark.operators.labels import (
     matched_views,
     scan_conversions,
 )
-from tidemark.operators.posts import latest_posts
+from tidemark.operators.posts import latest_posts, merge_posts
 from tidemark.operators.training import training_data
 from tidemark.plans.daily import daily_features
-from tidemark.plans.snapshots import snapshot_full, snapshot_incremental
-from tidemark.session import shared_dir
+from tidemark.plans.snapshots import snapshot_from_state, snapshot_full, snapshot_incremental, window_events
+from tidemark.session import drop_staged, shared_dir
 from tidemark.sources.readers import (
     features_table,
     is_cold_start,
@@ -30,7 +34,14 @@ from tidemark.sources.readers import (
     read_snapshot,
     snapshots_table,
 )
-from tidemark.sources.sinks import write_features, write_labels, write_snapshot, write_training
+from tidemark.sources.sinks import (
+    dates_between,
+    write_features,
+    write_labels,
+    write_snapshot,
+    write_training,
+)
+from tidemark.streaming.snapshots import append_partials, read_state
 from tidemark.vocab import VOCAB_A, Vocabulary
 
 
@@ -44,31 +55,70 @@ def run_snapshot(
     days: int = 7,
     tz: str = FEED_TZ,
     vocab: Vocabulary = VOCAB_A,
+    faithful_delta: bool = False,
 ) -> str:
     """One snapshot run. Returns ``full`` or ``incremental``.
 
-    A cold start reads the dumps and events of the whole window, any other run today's
-    dumps, the previous snapshot and the events since.
+    A cold start reads the dumps and events of the whole window and writes their counters to a state
+    folder beside ``base``. Any other run reads today's dumps, the previous snapshot and the events
+    since the last counted one, and adds their counters to the state, from which the snapshot is
+    finished: conversions pair across runs and days expire. ``faithful_delta`` adds up snapshots
+    instead, which pairs within the delta only and keeps no state.
     """
     now = run_params(run_ts, tz)
-    since = shift_day(now.date, -days)
-    events = read_events(spark, events_path, since, now.date)
+    since_date, state_dir = shift_day(now.date, -days), f"{base.rstrip('/')}_state"
     slot = None if is_cold_start(spark, base, now.date) else latest_run(spark, base, run_ts, tz)
-    if slot is None:
-        posts = latest_posts(read_dumps(spark, dumps_path, since, now.date), "truthy")
-        snapshot = snapshot_full(events, posts, run_ts, mapping, days, tz, vocab)
-    else:
-        posts = latest_posts(read_dumps(spark, dumps_path, now.date, now.date), "truthy")
-        previous = read_snapshot(spark, base, run_ts, tz)
+    counted = None if faithful_delta else counted_until(spark, state_dir, run_ts)
+    if slot is None or (counted is None and not faithful_delta):
+        events = read_events(spark, events_path, since_date, shift_day(now.date, 1))
+        posts = latest_posts(read_dumps(spark, dumps_path, since_date, now.date), "truthy")
+        if not faithful_delta:
+            begin_state(spark, state_dir, window_events(events, run_ts, days, tz), run_ts, vocab)
+        write_snapshot(snapshot_full(events, posts, run_ts, mapping, days, tz, vocab), base, run_ts, tz=tz)
+        return "full"
+    today = latest_posts(read_dumps(spark, dumps_path, now.date, now.date), "truthy")
+    previous = read_snapshot(spark, base, run_ts, tz)
+    if faithful_delta:
+        events = read_events(spark, events_path, since_date, shift_day(now.date, 1))
         prev_ts = previous.agg(F.max("run_ts")).first()[0]
         if prev_ts is None:  # a run without posts; its slot is known to the minute
             date, run = slot
             prev_ts = day_ms(date, tz) + (int(run[:2]) * 60 + int(run[2:])) * 60_000
-        snapshot = snapshot_incremental(
-            previous, posts, events, run_ts, prev_ts, mapping, days, tz, vocab
-        )
+        snapshot = snapshot_incremental(previous, today, events, run_ts, prev_ts, mapping, days, tz, vocab)
+    else:
+        started, prev_ts = counted
+        first = shift_day(run_params(prev_ts, "UTC").date, -1)
+        events = read_events(spark, events_path, first, shift_day(now.date, 1))
+        delta = events.filter((F.col("event_time") >= prev_ts) & (F.col("event_time") < run_ts))
+        append_partials(delta, run_ts, state_dir, vocab)
+        state = read_state(spark, state_dir, since_date, shift_day(now.date, 1))
+        own = F.col("batch").between(started, run_ts)
+        posts = merge_posts(today, previous, run_ts - days * DAY_MS)
+        snapshot = snapshot_from_state(tuple(t.filter(own) for t in state), posts, run_ts, mapping, days, tz)
     write_snapshot(snapshot, base, run_ts, tz=tz)
-    return "full" if slot is None else "incremental"
+    return "incremental"
+
+
+def begin_state(
+    spark: SparkSession, state_dir: str, events: DataFrame, run_ts: int, vocab: Vocabulary = VOCAB_A
+) -> None:
+    """Counters of a cold start; state of earlier starts no longer counts."""
+    append_partials(events, run_ts, state_dir, vocab)
+    start = spark.range(1).select(F.lit(run_ts).cast("bigint").alias("started"))
+    start.write.mode("overwrite").parquet(f"{state_dir}/starts/start={run_ts}")
+
+
+def counted_until(spark: SparkSession, state_dir: str, run_ts: int) -> tuple[int, int] | None:
+    """(run of the last cold start, last run whose events are counted) before a run; None without state."""
+    try:
+        starts = spark.read.schema("started bigint").parquet(f"{state_dir}/starts")
+        started = starts.filter(F.col("started") < run_ts).agg(F.max("started")).first()[0]
+        batches = read_state(spark, state_dir)
+        runs = [t.select("batch").distinct() for t in batches]
+        last = runs[0].unionAll(runs[1]).filter(F.col("batch") < run_ts).agg(F.max("batch")).first()[0]
+    except AnalysisException:
+        return None
+    return None if started is None else (started, max(started, last or started))
 
 
 def run_daily(
@@ -106,21 +156,27 @@ def run_labels(
     window: str = "same_day",
     tz: str = "UTC",
     vocab: Vocabulary = VOCAB_A,
+    day0: str = "event_age",
+    per_view: bool = False,
+    lag_ms: int = 0,
 ) -> None:
-    """Labels of a date range.
+    """Labels of a date range; dates of it without labels end up empty.
 
     Flagged views feed both the snapshot groups and the rows that read the groups back, so
-    they are staged once in the shared folder instead of being worked out twice.
+    they are staged once, in a folder of this run's own, instead of being worked out twice.
     """
     policy = POLICIES[window]
     events = read_events(spark, events_path, start, shift_day(end, policy.scan_days))
-    snapshots = snapshots_table(spark, snapshots_base, start, end)
-    views = matched_views(events, snapshots, start, end, vocab=vocab)
+    snapshots = snapshots_table(spark, snapshots_base, shift_day(start, -2), shift_day(end, 1))
+    views = matched_views(events, snapshots, start, end, day0, lag_ms, vocab)
     flagged = flag_views(views, scan_conversions(events, start, end, policy, vocab), policy, tz, vocab)
-    stage = f"{shared_dir(spark)}/flagged_views/{window}_{start}_{end}"
-    flagged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.schema(flagged.schema).parquet(stage)
-    write_labels(label_views(staged, tz=tz), base)
+    folder = f"{shared_dir(spark)}/flagged_views/{uuid.uuid4().hex}"
+    try:
+        flagged.write.parquet(folder)
+        staged = spark.read.schema(flagged.schema).parquet(folder)
+        write_labels(label_views(staged, per_view, tz), base, owned=dates_between(start, end))
+    finally:
+        drop_staged(spark, folder)
 
 
 def run_training(
@@ -138,9 +194,9 @@ def run_training(
     first = shift_day(start, -feature_lag_days)
     features = {k: features_table(spark, features_base, k, first, end) for k in schemas.FEATURES}
     labels = labels_table(spark, labels_base, start, end, tz)
-    snapshots = snapshots_table(spark, snapshots_base, start, end)
+    snapshots = snapshots_table(spark, snapshots_base, shift_day(start, -1), shift_day(end, 1))
     rows = training_data(labels, snapshots, features, start, end, tz, feature_lag_days)
-    write_training(rows, base, tz)
+    write_training(rows, base, tz, owned=dates_between(start, end))
 
 
 __all__ = ["run_daily", "run_labels", "run_snapshot", "run_training"]

@@ -31,7 +31,7 @@ from tidemark.operators.partials import (
     post_partials,
     user_partials,
 )
-from tidemark.operators.posts import with_state
+from tidemark.operators.posts import merge_posts, with_state
 from tidemark.vocab import VOCAB_A, VOCAB_B, Vocabulary
 
 # snapshot column -> metric of post_metrics
@@ -121,7 +121,8 @@ def snapshot_incremental(
 
     The twelve counters add up. The mean duration is that of the delta where the post has
     any, else the previous one. Conversions pair only within the delta, as a sum of
-    snapshots cannot know the users of earlier locks; :func:`snapshot_from_state` can.
+    snapshots cannot know the users of earlier locks, and counts of days past the window stay;
+    :func:`snapshot_advanced` is exact in both.
     """
     first_date = shift_day(run_params(run_ts, tz).date, -days)
     seen = window_events(events, run_ts, days, tz)
@@ -197,6 +198,27 @@ def snapshot_from_state(
     return assemble_a(posts, metrics_from_partials(*state, first_date), run_ts, mapping)
 
 
+def snapshot_advanced(
+    state: tuple[DataFrame, DataFrame],
+    previous: DataFrame,
+    today: DataFrame,
+    events: DataFrame,
+    run_ts: int,
+    prev_run_ts: int,
+    mapping: DataFrame,
+    days: int = 7,
+    tz: str = FEED_TZ,
+    vocab: Vocabulary = VOCAB_A,
+) -> DataFrame:
+    """Today's posts and those of the previous snapshot, counted from the state up to it and the
+    events since: what a full rebuild gives, with the log read from ``prev_run_ts`` on only."""
+    delta = events.filter(since(prev_run_ts) & before(run_ts))
+    parts = (post_partials(delta, vocab), user_partials(delta, vocab))
+    grown = tuple(old.unionByName(new.select(old.columns)) for old, new in zip(state, parts, strict=True))
+    posts = merge_posts(today, previous, run_ts - days * DAY_MS)
+    return snapshot_from_state(grown, posts, run_ts, mapping, days, tz)
+
+
 def assemble_b(posts: DataFrame, run_ts: int, *metrics: DataFrame) -> DataFrame:
     """Posts with keyed lookups of their metrics; what is missing counts as 0."""
     means = ["avgDur", "listenpct"]

@@ -59,3 +59,9 @@ def shared_dir(spark: SparkSession) -> str:
     own = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set(CHECKPOINT_KEY, own)
     return own
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a run staged for itself."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

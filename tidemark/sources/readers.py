@@ -124,10 +124,10 @@ def latest_run(
 
 
 def read_snapshot(
-    spark: SparkSession, base: str, before_ts: int, tz: str = FEED_TZ
+    spark: SparkSession, base: str, before_ts: int, tz: str = FEED_TZ, days: int = 7
 ) -> DataFrame:
-    """The last snapshot strictly before a run; empty when there is none."""
-    slot = latest_run(spark, base, before_ts, tz)
+    """The last snapshot strictly before a run, at most ``days`` dates back; empty when there is none."""
+    slot = latest_run(spark, base, before_ts, tz, days)
     if slot is None:
         return spark.createDataFrame([], schemas.SNAPSHOT)
     date, run = slot
@@ -142,13 +142,16 @@ def labels_table(
     end: str | None = None,
     tz: str = "UTC",
 ) -> DataFrame:
-    """Labels whose snapshot was taken in a date range, both days included."""
+    """Labels whose snapshot was taken in a date range, both days included.
+
+    A view never precedes its snapshot and follows it within two days, so dates of the folders are
+    bounded on both sides.
+    """
     day = ms_to_day(F.col("run_ts"), tz)
     table = spark.read.schema(schemas.LABELS).parquet(base)
     if start is not None:
-        # A label's view never precedes its snapshot, so the partition bound is safe.
         table = table.filter((F.col("date") >= shift_day(start, -1)) & (day >= start))
-    return table if end is None else table.filter(day <= end)
+    return table if end is None else table.filter((F.col("date") <= shift_day(end, 3)) & (day <= end))
 
 
 def features_table(

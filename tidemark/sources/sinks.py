@@ -1,12 +1,15 @@
-"""Writers. Each replaces only the partitions it holds, so a repeated run changes nothing."""
+"""Writers. Each replaces the partitions its run owns, also those it has no rows for any more, and no
+others: a repeated run changes nothing, and one with corrected input leaves nothing stale."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import ms_to_day, run_params
+from tidemark.functions import ms_to_day, run_params, shift_day
 from tidemark.functions.dates import FEED_TZ
 
 
@@ -20,36 +23,55 @@ def _replace(df: DataFrame, *partitions: str) -> DataFrameWriter:
     )
 
 
+def _folder(df: DataFrame, *partitions: str) -> DataFrameWriter:
+    """Writer of one folder, which ends up empty when there are no rows."""
+    return df.drop(*partitions).hint("rebalance").write.mode("overwrite")
+
+
+def _replace_dates(df: DataFrame, base: str, owned: Iterable[str] | None) -> None:
+    """Writes by ``date`` and empties those of the ``owned`` dates that got no row."""
+    seen = Observation()
+    rows = df.observe(seen, F.collect_set("date").alias("dates"))
+    _replace(rows, "date").option("compression", "snappy").parquet(base)
+    if owned is not None:
+        none = df.sparkSession.createDataFrame([], df.schema)
+        for date in sorted(set(owned) - set(seen.get["dates"])):
+            _folder(none, "date").parquet(f"{base.rstrip('/')}/date={date}")
+
+
+def dates_between(start: str, end: str) -> list[str]:
+    days = [start]
+    while days[-1] < end:
+        days.append(shift_day(days[-1], 1))
+    return days
+
+
 def write_snapshot(
     df: DataFrame, base: str, run_ts: int, layout: str = "slot", tz: str = FEED_TZ
 ) -> None:
     """JSON lines under ``date=/run=HHMM/``, or under ``ts=<ms>/`` with ``layout="ts"``."""
-    if layout == "ts":
-        rows, partitions = df.withColumn("ts", F.lit(run_ts).cast("bigint")), ["ts"]
-    else:
-        run = run_params(run_ts, tz)
-        rows = df.withColumns({"date": F.lit(run.date), "run": F.lit(run.slot)})
-        partitions = ["date", "run"]
-    _replace(rows, *partitions).option("ignoreNullFields", "false").json(base)
+    run = run_params(run_ts, tz)
+    own = f"ts={run_ts}" if layout == "ts" else f"date={run.date}/run={run.slot}"
+    _folder(df).option("ignoreNullFields", "false").json(f"{base.rstrip('/')}/{own}")
 
 
 def write_features(df: DataFrame, base: str, kind: str, date: str) -> None:
     """One date of a daily feature table, in the table's declared columns."""
     schema = schemas.FEATURES[kind]
-    rows = df.withColumn("date", F.lit(date)).select(
-        *[F.col(f.name).cast(f.dataType) for f in schema.fields]
-    )
-    _replace(rows, "date").parquet(f"{base.rstrip('/')}/{kind}")
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name != "date"])
+    _folder(rows).parquet(f"{base.rstrip('/')}/{kind}/date={date}")
 
 
-def write_labels(df: DataFrame, base: str) -> None:
-    rows = df.select(*schemas.LABELS.fieldNames())
-    _replace(rows, "date").option("compression", "snappy").parquet(base)
+def write_labels(df: DataFrame, base: str, owned: Iterable[str] | None = None) -> None:
+    """Labels by the date of their view; ``owned`` names the dates the run answers for."""
+    _replace_dates(df.select(*schemas.LABELS.fieldNames()), base, owned)
 
 
-def write_training(df: DataFrame, base: str, tz: str = "UTC") -> None:
-    """Training rows by the day of their snapshot."""
-    _replace(df.withColumn("date", ms_to_day(F.col("run_ts"), tz)), "date").parquet(base)
+def write_training(
+    df: DataFrame, base: str, tz: str = "UTC", owned: Iterable[str] | None = None
+) -> None:
+    """Training rows by the day of their snapshot; ``owned`` names the days the run answers for."""
+    _replace_dates(df.withColumn("date", ms_to_day(F.col("run_ts"), tz)), base, owned)
 
 
 def write_place_map(df: DataFrame, path: str) -> None:

@@ -3,7 +3,8 @@
 Each micro-batch adds its counters to an append-only table laid out by event date and batch;
 a snapshot sums that table over the window. A replayed batch rewrites its own partitions with
 the same content, so results are exact after a failure, and days past the window are simply
-no longer read.
+no longer read. Events count once, by their ids, also when they come late; those at or after a run
+wait for the next one.
 """
 
 from __future__ import annotations
@@ -40,10 +41,49 @@ def read_event_stream(spark: SparkSession, path: str, **options: str) -> DataFra
     return spark.readStream.schema(schemas.EVENT_LOG).options(**options).parquet(path)
 
 
-def distinct_events(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Each event once; repeats and first arrivals later than ``delay`` are left out."""
-    timed = stream.withColumn("event_ts", F.timestamp_millis("event_time"))
-    return timed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+def new_events(batch: DataFrame, batch_id: int, state_dir: str) -> DataFrame:
+    """Events of a batch that no earlier batch had, however late they come.
+
+    Ids are kept by event date; only those of the batch's own dates are read.
+    """
+    spark, base = batch.sparkSession, f"{state_dir}/ids"
+    rows = batch.dropDuplicates(["date", "event_id"])
+    dates = [r["date"] for r in rows.select("date").distinct().collect()]
+    try:
+        known = spark.read.schema("event_id string, date string, batch bigint").parquet(base)
+        seen = known.filter(F.col("date").isin(dates) & (F.col("batch") < batch_id))
+        rows = rows.join(seen.select("date", "event_id"), ["date", "event_id"], "left_anti")
+    except AnalysisException:  # the first batch
+        pass
+    ids = rows.select("event_id", "date", F.lit(batch_id).cast("bigint").alias("batch"))
+    _append(ids, base)
+    return rows.select(*batch.columns)
+
+
+def _append(rows: DataFrame, base: str) -> None:
+    """Files rows under their date and batch; a replayed batch replaces its own."""
+    (
+        rows.hint("rebalance", F.col("date"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "batch")
+        .parquet(base)
+    )
+
+
+def due_events(batch: DataFrame, batch_id: int, state_dir: str, run_ts: int) -> DataFrame:
+    """Events before the run, of this batch and of those put off so far; later ones are put off.
+
+    A snapshot knows nothing of events at or after its run. They wait in a folder for the next batch.
+    """
+    spark = batch.sparkSession
+    try:
+        waiting = spark.read.schema(batch.schema).parquet(f"{state_dir}/later/{batch_id - 1}")
+        batch = batch.unionByName(waiting)
+    except AnalysisException:  # the first batch
+        pass
+    batch.filter(F.col("event_time") >= run_ts).write.mode("overwrite").parquet(f"{state_dir}/later/{batch_id}")
+    return batch.filter(F.col("event_time") < run_ts)
 
 
 def append_partials(
@@ -51,13 +91,7 @@ def append_partials(
 ) -> None:
     parts = {"by_post": post_partials(batch, vocab), "by_user": user_partials(batch, vocab)}
     for table, rows in parts.items():
-        (
-            rows.withColumn("batch", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date", "batch")
-            .parquet(f"{state_dir}/{table}")
-        )
+        _append(rows.withColumn("batch", F.lit(batch_id).cast("bigint")), f"{state_dir}/{table}")
 
 
 def read_state(
@@ -87,7 +121,6 @@ def stream_snapshots(
     posts_at: Callable[[int], DataFrame],
     mapping: DataFrame,
     clock: Callable[[int], int],
-    delay: str = "1 hour",
     days: int = 7,
     tz: str = FEED_TZ,
     vocab: Vocabulary = VOCAB_A,
@@ -100,21 +133,16 @@ def stream_snapshots(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
+        spark, run_ts = batch.sparkSession, clock(batch_id)
+        fresh = new_events(batch, batch_id, state_dir).persist()
         try:
-            append_partials(batch, batch_id, state_dir, vocab)
+            append_partials(due_events(fresh, batch_id, state_dir, run_ts), batch_id, state_dir, vocab)
         finally:
-            batch.unpersist()
-        run_ts = clock(batch_id)
+            fresh.unpersist()
         today = run_params(run_ts, tz).date
         # Event dates may be those of another zone, up to a day ahead of the run's.
         state = read_state(spark, state_dir, shift_day(today, -days), shift_day(today, 1))
         snapshot = snapshot_from_state(state, posts_at(run_ts), run_ts, mapping, days, tz)
         write_snapshot(snapshot, out, run_ts, tz=tz)
 
-    return (
-        distinct_events(stream, delay)
-        .writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-    )
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
