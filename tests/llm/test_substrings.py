@@ -40,6 +40,18 @@ def test_equals_brute_force(spark, size, gram, parts):
     assert sorted(map(tuple, got), key=key) == sorted(brute(rows, size), key=key)
 
 
+@pytest.mark.parametrize("remembered", [0, 3, 1000])
+def test_hot_minimisers(spark, monkeypatch, remembered):
+    monkeypatch.setattr(substrings, "SAMPLED", 1)
+    monkeypatch.setattr(substrings, "REMEMBERED", remembered)
+    line = " ".join(f"line{k}" for k in range(16))
+    rows = corpus(21) + [(8000 - k, f"a{k} b{k} c{k} {line} d{k} e{k} {'f' * (k % 4)} g{k}", None, None, None) for k in range(150)]
+    docs = frame(spark, rows).repartition(3)
+    assert len(substrings.hot_minimisers(docs, 13, 3, 32)) > 0
+    got = substrings.dedup(docs, 13, 3).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute(rows, 13), key=key)
+
+
 def test_empty_table(spark):
     assert substrings.dedup(frame(spark, [])).count() == 0
 

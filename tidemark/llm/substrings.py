@@ -10,6 +10,12 @@ Copies combine before they travel: of equal super-k-mers in a slice of a task's
 its smallest document go on, since that one already decides on the others, so a bucket gets one
 string for each slice that holds it, not one for each copy.
 
+A minimiser may still stand in very many different strings, such as one at the edge of a line that a third
+of all documents share. Minimisers are counted on a sample of strings first; those with more strings
+than a mean bucket holds are hot, fewer than there are buckets. Their windows travel one by one to
+the bucket of the window itself, and of equal ones a task sends only the first. The sample decides where
+strings go, not what is found: a window's minimiser is the same everywhere.
+
 Rows with a null id are left whole and take no part. Texts that are null or shorter than a window
 have no windows. Rows of one id never take words from each other. A repeated row loses what the
 other one loses.
@@ -26,14 +32,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, ship
+from tidemark.llm.common import partitions, ship, stage
 from tidemark.llm.spans import SPANS, cut, keyed, runs
-from tidemark.llm.words import _BASE, _BASE_2, SPACES, mix, slices, sliding_argmin, spans, split, starts_of, text_bytes, windows
+from tidemark.llm.words import _BASE, _BASE_2, SPACES, Words, mix, slices, sliding_argmin, spans, split, starts_of, text_bytes, windows
 
+#: One of so many strings is counted to find hot minimisers.
+SAMPLED = 64
+#: Windows of hot minimisers whose first document a task remembers.
+REMEMBERED = 200_000
 #: Buckets for each shuffle partition; a task holds one bucket at a time.
 BUCKETS = 8
 #: Bytes a task gathers for its buckets before it packs them.
-GATHERED = 32 << 20
+GATHERED = 64 << 20
 MOVED = "bucket int, found boolean, blob binary"
 
 
@@ -42,7 +52,7 @@ def _pack(*arrays: np.ndarray, text: bytes = b"") -> bytes:
     for x in arrays:
         np.save(out, x, allow_pickle=False)
     out.write(text)
-    return zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+    return zstandard.ZstdCompressor(level=6).compress(out.getvalue())
 
 
 def _unpack(blob: bytes, arrays: int) -> tuple[list[np.ndarray], bytes]:
@@ -68,23 +78,58 @@ class _Gathered:
             self.held, self.size = {}, 0
 
 
-def _travel(batches: Iterator[pa.RecordBatch], size: int, gram: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _runs(words: Words, one: np.ndarray, size: int, gram: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Super-k-mers of a slice: first word, end, minimiser, and whether that one is hot."""
+    at = starts_of(words.first, size)
+    grams = windows(one, gram)
+    least = sliding_argmin(grams, size - gram + 1)[at] if len(at) else at
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) != 1) | (np.diff(least) != 0)
+    single = np.zeros(len(at), bool)
+    if len(hot) and len(at):
+        found = np.minimum(np.searchsorted(hot, grams[least]), len(hot) - 1)
+        single = hot[found] == grams[least]
+        new |= single  # every window of a hot minimiser by itself
+    first = np.flatnonzero(new)
+    begin = at[first]
+    last = at[np.append(first[1:], len(at)) - 1] if len(first) else begin
+    return begin, last + size, grams[least[first]], single[first]
+
+
+def _sample(batches: Iterator[pa.RecordBatch], size: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Minimisers of a sample of a task's strings, and of all their number (as the minimiser 0)."""
+    held, total = [], 0
+    for batch in batches:
+        for part in slices(batch, "text"):
+            words = split(*text_bytes(part.column("text")))
+            one = words.hashes(_BASE)
+            begin, end, grams, _ = _runs(words, one, size, gram, np.empty(0, np.uint64))
+            total += len(begin)
+            held.append(grams[mix(spans(one, begin, end, _BASE)) % np.uint64(SAMPLED) == 0])
+    grams, n = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(0, grams.view(np.int64))), pa.array(np.append(total, n * SAMPLED))], ["gram", "n"])
+
+
+def hot_minimisers(docs: DataFrame, size: int, gram: int, buckets: int) -> np.ndarray:
+    """Minimisers with more strings than a mean bucket; fewer than ``buckets`` by that."""
+    counts = docs.select("text").mapInArrow(lambda it: _sample(it, size, gram), "gram long, n long")
+    counts = stage(counts.groupBy("gram").agg(F.sum("n").alias("n")), "minimisers")
+    total = counts.where("gram = 0").agg(F.max("n")).first()[0] or 0
+    hot = counts.where((F.col("gram") != 0) & (F.col("n") > max(total / buckets, 4 * SAMPLED)))
+    return np.sort(np.array([r["gram"] for r in hot.select("gram").collect()], np.int64).view(np.uint64))
+
+
+def _travel(batches: Iterator[pa.RecordBatch], size: int, gram: int, buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     turn, gathered = 0, _Gathered()
+    known: dict[tuple[int, int], int] = {}  # windows of hot minimisers: smallest document so far
     for batch in batches:
         for part in slices(batch.filter(batch.column("doc_id").is_valid()), "text"):
             data, offsets = text_bytes(part.column("text"))
             words = split(data, offsets)
-            at = starts_of(words.first, size)
-            if not len(at):
-                continue
             one, two = words.hashes(_BASE), words.hashes(_BASE_2)
-            grams = windows(one, gram)
-            least = sliding_argmin(grams, size - gram + 1)[at]
-            new = np.ones(len(at), bool)
-            new[1:] = (np.diff(at) != 1) | (np.diff(least) != 0)
-            first = np.flatnonzero(new)
-            begin, last = at[first], at[np.append(first[1:], len(at)) - 1]
-            end = last + size
+            begin, end, grams, single = _runs(words, one, size, gram, hot)
+            if not len(begin):
+                continue
             doc = words.doc[begin]
             ids = part.column("doc_id").to_numpy()
             hashes = part.column("text_hash").to_numpy()
@@ -96,6 +141,15 @@ def _travel(batches: Iterator[pa.RecordBatch], size: int, gram: int, buckets: in
             kind = np.cumsum(head) - 1
             heads = order[head]
             held = ids[doc[order]] != ids[doc[heads]][kind]  # an earlier document of this slice has it
+            late = np.zeros(len(heads), bool)
+            hots = np.flatnonzero(single[heads])
+            for k, *key, own in zip(hots.tolist(), a[heads[hots]].tolist(), b[heads[hots]].tolist(), ids[doc[heads[hots]]].tolist(), strict=True):
+                before = known.get(tuple(key))
+                if before is not None and before < own:  # or of this task
+                    late[k] = True
+                elif before is not None or len(known) < REMEMBERED:
+                    known[tuple(key)] = own
+            held |= late[kind]
             if held.any():
                 flags = np.zeros(len(begin), bool)
                 flags[order[held]] = True
@@ -106,7 +160,7 @@ def _travel(batches: Iterator[pa.RecordBatch], size: int, gram: int, buckets: in
                 turn += 1
             # the others by bucket; one that occurs several times in its document is repeated
             order = order[~held]
-            target = (mix(grams[least[first[order]]]) % np.uint64(buckets)).astype(np.int64)
+            target = (mix(np.where(single, a, grams)[order]) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(target, kind="stable")
             own, target = order[by], target[by]
             raw = np.where(SPACES[data], np.uint8(32), data).tobytes()
@@ -184,7 +238,8 @@ def earlier_windows(docs: DataFrame, size: int = 13, gram: int = 3) -> DataFrame
     ship(spark)
     parts = partitions(spark)
     buckets = parts * BUCKETS
-    moved = keyed(docs).mapInArrow(lambda it: _travel(it, size, gram, buckets), MOVED)
+    hot = hot_minimisers(docs, size, gram, buckets)
+    moved = keyed(docs).mapInArrow(lambda it: _travel(it, size, gram, buckets, hot), MOVED)
     return moved.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _count(it, size), SPANS)
 
 
