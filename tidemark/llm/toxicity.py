@@ -2,9 +2,9 @@
 
 1. Tokens are words and their beginnings of 5 to 8 bytes, which inflected words share. Numbers of labelled
    documents that hold a token, toxic and not, give it log-odds with an informative Dirichlet prior: the
-   prior expects a token as often as all labelled documents together have it and is worth as many documents
-   as are toxic. Tokens that lean to toxic text by three standard errors or more are listed with the lower
-   end of their log-odds. A word scores as the highest of its listed tokens; all others count against a passage.
+   prior expects a token as often as all labelled documents together have it and is worth a quarter as
+   many documents as are toxic. Tokens that lean to toxic text by three standard errors or more, and by
+   ``LEAST_ODDS`` at the lower end of their log-odds, are listed with that lower end. A word scores as the highest of its listed tokens; all others count against a passage.
 2. A linear-time scan (Ruzzo and Tompa) finds all maximal segments of a text: passages whose total cannot
    be raised by growing or shrinking. Listed words are few, so the scan steps from one to the next.
 3. Scores of the best segments of random text follow an extreme-value law with a decay that the words'
@@ -42,6 +42,10 @@ SAMPLE = 200_000
 LISTED = 20_000
 #: Standard errors by which a listed word leans to toxic text, and documents it has to occur in.
 LEAN, LEAST_DOCS = 3.0, 3
+#: Log-odds that the lower end of a listed token's has to reach: lesser leanings add up in long clean texts.
+LEAST_ODDS = 2.0
+#: Documents the prior is worth, as a share of the toxic ones.
+PRIOR = 0.25
 #: Lengths in bytes of the beginnings of words that are tokens of their own.
 BEGINNINGS = (5, 6, 7, 8)
 #: Expected number of chance passages below which one is significant.
@@ -203,11 +207,11 @@ def learn_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mod
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     counts = rows.mapInArrow(_count, "word long, toxic long, clean long, times long").groupBy("word").agg(*[F.sum(x).alias(x) for x in COUNTS])
     toxic, clean = (float(min(sample, sizes[k])) for k in (1, 0))
-    prior = F.lit(toxic) * (F.col("toxic") + F.col("clean")) / F.lit(toxic + clean)
-    odds = lambda x, n: F.log((x + prior) / F.greatest(F.lit(1.0), F.lit(n + toxic) - x - prior))
+    prior = F.lit(PRIOR * toxic) * (F.col("toxic") + F.col("clean")) / F.lit(toxic + clean)
+    odds = lambda x, n: F.log((x + prior) / F.greatest(F.lit(1.0), F.lit(n + PRIOR * toxic) - x - prior))
     table = counts.where(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds(F.col("toxic"), toxic) - odds(F.col("clean"), clean))
     table = table.withColumn("error", F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)))
-    table = table.where(F.col("odds") >= LEAN * F.col("error"))
+    table = table.where((F.col("odds") >= LEAN * F.col("error")) & (F.col("odds") - F.col("error") >= LEAST_ODDS))
     best = table.orderBy(F.desc(F.col("odds") / F.col("error")), "word").limit(LISTED).collect()
     if not best:
         return none
