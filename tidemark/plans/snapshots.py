@@ -19,7 +19,7 @@ from tidemark.functions import (
 )
 from tidemark.functions.dates import FEED_TZ
 from tidemark.functions.scalars import DAY_MS
-from tidemark.operators.engagement import METRICS_A, metrics_b
+from tidemark.operators.engagement import metrics_b
 from tidemark.operators.events import in_posts
 from tidemark.operators.partials import (
     POST_KEYS,
