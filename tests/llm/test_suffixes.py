@@ -9,8 +9,9 @@ def covered(rows):
     return {(d, i) for d, start, n in rows for i in range(start, start + n)}
 
 
-@pytest.mark.parametrize("size,head,parts", [(50, 8, 1), (50, 8, 4), (12, 4, 3), (6, 6, 2)])
-def test_equals_brute_force(spark, size, head, parts):
+@pytest.mark.parametrize("size,head,parts,hot", [(50, 8, 1, 200), (50, 8, 4, 1), (12, 4, 3, 1), (6, 6, 2, 200)])
+def test_equals_brute_force(spark, monkeypatch, size, head, parts, hot):
+    monkeypatch.setattr(suffixes, "LEAST_HOT", hot)
     rows = [r for r in corpus(size) if r[0] != 1003]
     got = suffixes.passages(frame(spark, rows).repartition(parts), size, head).collect()
     first = {}

@@ -9,7 +9,8 @@ choice rests on the words alone, so two equal passages retain the same suffix in
    head in a third of all documents is one row a task.
 2. Documents get the list of their suffixes that are left. From each one its match is extended to the
    left and right: fingerprints of all passages of ``size`` words that have this suffix as their
-   minimiser. They travel together to the bucket of the head.
+   minimiser. They travel together to the bucket of the head; those of hot heads, which stand in more
+   suffixes than a mean bucket holds, each to the bucket of the passage itself.
 3. There they are sorted, equal neighbours share a passage, and all but the smallest document lose it.
    Within a slice of a task's input this is done before anything travels, so of many copies only
    the first of each slice does.
@@ -36,6 +37,8 @@ from tidemark.llm.words import mix, slices, sliding_argmin, split, starts_of, te
 
 #: Words of a passage, and of a suffix's head.
 SIZE, HEAD = 50, 8
+#: Suffixes that a hot head has at least.
+LEAST_HOT = 200
 FOUND = "doc_id long, text_hash int, start int, n int, earlier long"
 
 
@@ -73,7 +76,12 @@ def _extend(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Itera
             lists = part.column("start")
             doc = np.repeat(np.arange(len(part)), np.diff(lists.offsets.to_numpy()))
             start, n, head = (part.column(k).flatten().to_numpy() for k in ("start", "n", "head"))
-            n = n.astype(np.int64)
+            hot = part.column("hot").flatten().to_numpy(zero_copy_only=False)
+            # suffixes of hot heads go on as one for each of their passages
+            times = np.where(hot, n, 1).astype(np.int64)
+            shift = ragged(np.zeros(len(n), np.int64), times)
+            doc, head, hot = (np.repeat(x, times) for x in (doc, head, hot))
+            start, n = np.repeat(start, times) + shift, np.where(hot, 1, np.repeat(n, times)).astype(np.int64)
             at = ragged(words.first[doc] + start, n)
             suffix = np.repeat(np.arange(len(doc)), n)
             print_ = around[at]
@@ -85,9 +93,10 @@ def _extend(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Itera
             # passages whose first document this is go on; suffixes without any stay
             left = np.bincount(suffix[~late], minlength=len(doc))
             some = np.flatnonzero(left)
-            target = (mix(head.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            some = some[np.argsort(target[some], kind="stable")]
             begin = np.cumsum(n) - n
+            key = np.where(hot, print_[begin], head.view(np.uint64)) if len(head) else head.view(np.uint64)
+            target = (mix(key) % np.uint64(buckets)).astype(np.int64)
+            some = some[np.argsort(target[some], kind="stable")]
             edges = np.flatnonzero(np.diff(target[some], prepend=-1, append=buckets))
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 k = some[i:j]
@@ -140,13 +149,16 @@ def earlier_passages(docs: DataFrame, size: int = SIZE, head: int = HEAD) -> Dat
     parts = partitions(spark)
     rows = keyed(docs).where("doc_id IS NOT NULL")
     suffixes = stage(rows.mapInArrow(lambda it: _suffixes(it, size, head), "doc_id long, text_hash int, head long, start int, n int"), "suffixes")
-    shared = suffixes.groupBy("head").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("head")
-    left = suffixes.join(shared, "head", "left_semi")
-    listed = left.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n", "head")).alias("suffixes"))
+    buckets = parts * BUCKETS
+    mean = suffixes.count() / buckets
+    heads = suffixes.groupBy("head").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("times"))
+    # written down, so that the join reads it anew and Spark can split the suffixes of a hot head
+    shared = stage(heads.where("low < high").select("head", (F.col("times") > max(mean, LEAST_HOT)).alias("hot")), "heads")
+    left = suffixes.join(shared, "head")
+    listed = left.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n", "head", "hot")).alias("suffixes"))
     # A repeated row would list its suffixes twice. Lists grow with the corpus: both sides are shuffled.
     listed = listed.withColumn("suffixes", F.array_distinct("suffixes"))
-    with_lists = rows.join(listed.hint("merge"), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "suffixes.start", "suffixes.n", "suffixes.head")
-    buckets = parts * BUCKETS
+    with_lists = rows.join(listed.hint("merge"), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "suffixes.start", "suffixes.n", "suffixes.head", "suffixes.hot")
     moved = with_lists.mapInArrow(lambda it: _extend(it, size, buckets), MOVED)
     return moved.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _meet(it, size), FOUND)
 
