@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, ship, stage
 from tidemark.llm.components import components
-from tidemark.llm.tokens import ragged
 from tidemark.llm.words import _BASE, _BASE_2, mix, slices, spans, starts_of, windows, words_of
 
 SHINGLE = 5

@@ -39,17 +39,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTES = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
-_powers: dict[tuple[int, int], np.ndarray] = {}
+_powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept, and grown by half when too short."""
-    key = (base, 0)
-    have = _powers.get(key)
+    have = _powers.get(base)
     if have is None or len(have) < n:
         p = np.full(max(1024, n + n // 2), base, _U)
         p[0] = 1
-        have = _powers[key] = np.cumprod(p, dtype=_U)
+        have = _powers[base] = np.cumprod(p, dtype=_U)
     return have[:n]
 
 
@@ -173,10 +172,6 @@ def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def binaries(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, pa.binary())
-
-
 #: Bytes of text handled at once; intermediates take a few dozen times as much.
 SLICE = 1 << 20
 
