@@ -18,8 +18,15 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely not toxic than toxic. Learned from the labels that the query on
     toxicity learns from."""
     labels = table(spark, sf_dir, "labels").where(F.pmod(fold(), F.lit(5)) != 0)
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    return toxicity.score(rows, labels, "row")[0].where("score < 0.5").select("row.*")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return _without(docs, toxicity.score(rows, labels, "text_hash")[0].where("score >= 0.5"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text hash are not in ``gone``. Both sides are shuffled at any size."""
+    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +42,7 @@ def once_each_passage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return docs.join(found.hint("merge"), same, "left_anti")
+    return _without(docs, decontam.leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
