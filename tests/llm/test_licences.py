@@ -40,6 +40,22 @@ def test_base_columns_and_notices(spark):
         assert by[d].score == 0 and by[d].labels == by[d].base_labels and not by[d].notices
 
 
+def test_several_notices_and_long_texts_of_index_words(spark):
+    names, lines = [x for x, _, _ in licences.TEMPLATES], [t for _, t, _ in licences.TEMPLATES]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(len(lines)) if names[a] != names[b]]
+    rows = [(k, f"some text {lines[a]} between them {lines[b]} and after", None, None, None) for k, (a, b) in enumerate(pairs)]
+    rows.append((5000, "\n".join(lines), None, None, None))
+    loose = sorted({w for t in lines for w in t.split()})
+    rows += [(6000 + k, f"{' word '.join(loose * 40)} {line} {' word '.join(loose)}", None, None, None) for k, line in enumerate(lines)]
+    docs = frame(spark, rows).repartition(3)
+    by = {r.doc_id: r for r in licences.notices(docs).collect()}
+    for k, (a, b) in enumerate(pairs):
+        assert {names[a], names[b]} <= set(by[k].labels.split(",")), (names[a], names[b], by[k].labels)
+    assert set(names) <= set(by[5000].labels.split(","))
+    for k, name in enumerate(names):
+        assert any(x.label == name and x.share == 1 for x in by[6000 + k].notices), (name, by[6000 + k].notices)
+
+
 def test_empty_table(spark):
     assert licences.notices(frame(spark, [])).count() == 0
 

@@ -3,11 +3,12 @@
 1. For every word of the templates the documents that hold it are counted over the whole corpus; the fewer,
    the higher its weight (inverse document frequency).
 2. The index holds, of each template, the postings (template, place) of its words of highest weight.
-3. Of the words a document shares with the index, its ``LOOKED_UP`` of highest weight are looked up. A word
+3. All words a document shares with the index are looked up; the index is bounded by the templates. A word
    at place p with a posting at place q lines the template up at p - q; postings are intersected by
    this relative place, and a template is a candidate where two or more of its places agree.
 4. A candidate is verified: one of the template's key phrases has to stand inside it, word by word, and
-   the weights of the words at their places have to reach ``AGREE`` of the template's.
+   the weights of the words at their places have to reach ``AGREE`` of the template's. Notices are listed
+   by place, the longer first where two begin together.
 
 Words are runs of 0-9, a-z (A-Z made small) and non-ASCII characters. Phrases of ``PHRASES`` give the base
 labels wherever they stand; templates add labels of their own. The score is the best share of a verified
@@ -51,8 +52,8 @@ TEMPLATES = [
     ("all-rights-reserved", "All rights reserved. No part of this work may be reproduced without written permission", ["all rights reserved"]),
 ]
 
-#: Words of a template in the index, at most and as a share of its words; words of a document looked up.
-INDEXED, LOOKED_UP = 8, 6
+#: Words of a template in the index, at most; half of its distinct words where that is fewer.
+INDEXED = 8
 AGREE = 0.8
 RESULT = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double,"
@@ -73,7 +74,6 @@ class Index:
     phrases: list[list[np.ndarray]]
     weights: list[np.ndarray]
     words: np.ndarray  # indexed words, ascending
-    rank: np.ndarray  # of each, 0 for the highest weight
     postings: list[np.ndarray]  # of each: rows (template, place)
 
     @classmethod
@@ -88,10 +88,7 @@ class Index:
                 if word in chosen:
                     postings.setdefault(word, []).append((k, place))
         words = np.array(sorted(postings), np.uint64)
-        order = sorted(range(len(words)), key=lambda i: (-weight[int(words[i])], int(words[i])))
-        rank = np.empty(len(words), np.int64)
-        rank[order] = np.arange(len(words))
-        return cls(texts, [[_words(p) for p in ps] for _, _, ps in templates], weights, words, rank, [np.array(postings[w], np.int64) for w in words.tolist()])
+        return cls(texts, [[_words(p) for p in ps] for _, _, ps in templates], weights, words, [np.array(postings[w], np.int64) for w in words.tolist()])
 
 
 def _places(prints: np.ndarray, words: Words, phrase: np.ndarray) -> np.ndarray:
@@ -108,13 +105,6 @@ def _candidates(prints: np.ndarray, words: Words, index: Index) -> np.ndarray:
     at = np.minimum(np.searchsorted(index.words, prints), len(index.words) - 1)
     found = np.flatnonzero(index.words[at] == prints)
     word, doc = at[found], words.doc[found]
-    # each document's words of highest weight
-    pairs = np.unique(doc * len(index.words) + index.rank[word])
-    owner = pairs // len(index.words)
-    first = np.searchsorted(owner, owner)
-    best = pairs[np.arange(len(pairs)) - first < LOOKED_UP]
-    kept = np.isin(doc * len(index.words) + index.rank[word], best)
-    found, word, doc = found[kept], word[kept], doc[kept]
     rows = [np.empty((0, 3), np.int64)]
     for w in np.unique(word).tolist():
         here = word == w
@@ -159,6 +149,8 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, labels: list[str]) ->
                         break
             own = [",".join(sorted(x)) for x in base]
             every = [",".join(sorted(x | {y["label"] for y in z})) for x, z in zip(base, notices, strict=True)]
+            for found in notices:
+                found.sort(key=lambda y: (y["start"], -y["n_words"]))
             none = count == 0
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(words.counts), pa.array(count), pa.array(low, mask=none), pa.array(high, mask=none), pa.array(own), pa.array(every), pa.array(score), pa.array(notices, _NOTICES)],
