@@ -62,6 +62,50 @@ def test_equals_brute_force(spark):
         assert got == brute(rows, items) and len(got) > 20
 
 
+def all_windows(rows, items):
+    """Best counts over the windows of every start, and the starts that have them."""
+    out = {}
+    for d, t, *_ in rows:
+        w = words(t)
+        for item, text in items:
+            v = words(text)
+            n = min(len(v), len(w))
+            if n < 5:
+                continue
+            want, held = Counter(shingles(v)), shingles(w)
+            for start in range(len(w) - n + 1):
+                have = Counter(held[start : start + n - 4])
+                shared, total = sum((have & want).values()), sum((have | want).values())
+                if 100 * shared >= 75 * total:
+                    out.setdefault((d, item), {}).setdefault((shared / total, shared, total), set()).add(start)
+    return {k: (*max(v)[1:], v[max(v)]) for k, v in out.items()}
+
+
+def test_finds_what_any_window_finds(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("klmnop") for _ in range(6))
+    items, rows = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([48, 48, 40, 60, 25, 59, 36, 48])], []
+    around = lambda w: " ".join([word() for _ in range(r.randint(0, 80))] + w + [word() for _ in range(r.randint(0, 80))])
+    for k, text in items:
+        w = text.split()
+        half = len(w) // 2
+        two = ["first", *w[1:half], "put", "in", *w[half:-1], "last"]
+        rows += [(100 + k, around(two), None, None, None), (200 + k, around(w[half:] + w[:half]), None, None, None), (300 + k, " ".join(two), None, None, None)]
+        for n in range(12):
+            v = list(w)
+            for _ in range(r.randint(1, 3)):
+                i = r.randrange(len(v))
+                v[i : i + r.randint(0, 2)] = [word() for _ in range(r.randint(0, 2))]
+            rows.append((1000 + 100 * k + n, around(v), None, None, None))
+    want = all_windows(rows, items)
+    assert (100, 0) in want and (200, 0) in want
+    got = {(x.doc_id, x.item_id): x for x in decontam.leaks(frame(spark, rows).repartition(3), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == set(want)
+    for k, x in got.items():
+        shared, total, starts = want[k]
+        assert (x.shared, x.total) == (shared, total) and x.start in starts, k
+
+
 def test_shuffled_when_the_benchmark_is_large(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST", 0)
     rows, items = case(3)

@@ -3,9 +3,12 @@
 Everything here is DataFrame and SQL functions. Words are runs between ASCII white space, in lower case;
 a text's shingles are its runs of five words, each as often as it occurs.
 
-1. Shingles of all documents are looked up among those of the items. A window that is similar to an item
-   shares a shingle with it; each shared shingle lines the item up with the document and gives the
-   window of the item's length there, moved inside the document where it would stick out.
+1. Shingles of all documents are looked up among those of the items. Each shared shingle lines the item up
+   with the document and gives the window of the item's length there, moved inside the document where it
+   would stick out. An item edited in several places is lined up in several ways, and the window between
+   two of them may be the best one, so the windows of all starts between neighbouring ones are taken too.
+   Outside of these a window has no more in common with the item than the nearest lined-up one; windows
+   that have fewer shared shingles than the threshold needs are left out (see ``spots_of``).
 2. Each of these item-sized windows gets a 64-bit SimHash of its shingles, as often as they occur. Fingerprints of
    windows and items are cut into RADIUS + 1 blocks; two that differ in at most RADIUS bits agree in
    some block, so equal blocks find every pair within the radius, and a bit count drops the others. At
@@ -69,6 +72,31 @@ def counted(df: DataFrame, source: str, name: str) -> DataFrame:
     return df.withColumn(name, F.expr("transform(in_order, (x, i) -> xxhash64(x, i - array_position(in_order, x)))")).drop("in_order")
 
 
+def spots_of(lined: DataFrame, percent: int) -> DataFrame:
+    """Starts of the windows to compare, per document and item length: those between neighbouring
+    alignments, of which enough shingles are shared with items.
+
+    A window of W shingles and an item of N reach ``percent`` with percent * (W + N) / (100 + percent) shared
+    ones or more (``needed``). A window between alignments a and b holds at most 2N - (b - a) shingles from both,
+    so for b - a > 2N - needed either one of them serves as well or none reaches it.
+    Both arrays stay within the length of the document and the item.
+    """
+    spots = lined.groupBy("doc_id", "text_hash", "doc_words", "item_words").agg(F.sort_array(F.collect_set(F.col("doc_at") - F.col("item_at"))).alias("lines"), F.sort_array(F.collect_set("doc_at")).alias("held"))
+    size = f"(item_words - {SHINGLE - 1})"
+    spots = spots.withColumn("length", F.least("item_words", "doc_words")).withColumn("n", F.expr(f"length - {SHINGLE - 1}"))
+    spots = spots.withColumn("needed", F.expr(f"CAST(({percent} * (n + {size}) + {99 + percent}) DIV {100 + percent} AS INT)"))
+    gaps = f"flatten(transform(lines, (a, i) -> CASE WHEN i + 1 < size(lines) AND lines[i + 1] - a <= 2 * {size} - needed THEN sequence(a, lines[i + 1] - 1) ELSE array(a) END))"
+    inside = "greatest(0, least(a, doc_words - length))"
+    spots = spots.withColumn("starts", F.expr(f"array_distinct(transform({gaps}, a -> {inside}))")).withColumn("aligned", F.expr(f"array_distinct(transform(lines, a -> {inside}))"))
+    # starts s with held[i + needed - 1] < s + n and s <= held[i] for some i, each once
+    low = "greatest(held[i + needed - 1] - n + 1, CASE WHEN i > 0 THEN held[i - 1] + 1 ELSE 0 END)"
+    enough = f"flatten(transform(held, (p, i) -> CASE WHEN i + needed <= size(held) AND {low} <= p THEN sequence({low}, p) ELSE CAST(array() AS array<int>) END))"
+    spots = spots.withColumn("starts", F.array_intersect("starts", F.expr(enough))).where("size(starts) > 0")
+    # the lined-up ones first among equals
+    spots = spots.withColumn("aligned", F.array_intersect("starts", "aligned"))
+    return spots.select("doc_id", "text_hash", F.expr("struct(item_words, length, aligned, array_except(starts, aligned) AS others)").alias("spot"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """One row for each document and item found in it, with its best window: doc_id, text_hash, item_id,
     start (in words), n_words, shared, total, similarity."""
@@ -88,16 +116,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame
     hits = at.join(F.broadcast(known) if bound else known, "shingle", "left_semi")
     # hits are few against all shingles; lining up takes them to every place of the items
     lined = hits.join(places, "shingle")
-    length = F.least("item_words", "doc_words")
-    start = F.greatest(F.lit(0), F.least(F.col("doc_at") - F.col("item_at"), F.col("doc_words") - length))
-    spots = lined.select("doc_id", "text_hash", F.struct(F.col("item_words"), start.alias("start"), length.alias("length")).alias("spot"))
-    spots = stage(spots.groupBy("doc_id", "text_hash").agg(F.collect_set("spot").alias("spots")), "spots")
+    spots = spots_of(lined, percent).groupBy("doc_id", "text_hash").agg(F.collect_list("spot").alias("spots"))
+    spots = stage(spots, "spots")
 
     same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.text_hash") == F.col("s.text_hash"))
     held = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     held = held.alias("d").join(spots.alias("s"), same).select("d.doc_id", "d.text_hash", words(F.lower("d.text")).alias("w"), "s.spots")
     held = held.withColumn("shingles", shingles())
-    inside = "transform(spots, s -> struct(s.item_words AS item_words, s.start AS start, s.length AS length, slice(shingles, s.start + 1, s.length - 4) AS window_shingles))"
+    window = "struct(s.item_words AS item_words, x AS start, {} AS aligned, s.length AS length, slice(shingles, x + 1, s.length - 4) AS window_shingles)"
+    each = ", ".join(f"transform(s.{name}, x -> {window.format(flag)})" for name, flag in (("aligned", "true"), ("others", "false")))
+    inside = f"flatten(transform(spots, s -> concat({each})))"
     windows = held.select("doc_id", "text_hash", F.explode_outer(F.expr(inside)).alias("x")).select("doc_id", "text_hash", "x.*")
     # written down, lest each of the blocks works the fingerprint out anew
     windows = stage(counted(simhash(windows, "window_shingles", "print"), "window_shingles", "counted"), "windows")
@@ -112,5 +140,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame
     shared = F.size(F.array_intersect("counted", "item_counted"))
     pairs = pairs.withColumn("shared", shared).withColumn("total", F.size("window_shingles") + F.size("item_shingles") - F.col("shared"))
     found = pairs.where(F.col("shared") * 100 >= F.col("total") * percent).withColumn("similarity", F.col("shared") / F.col("total"))
-    best = F.max_by(F.struct("start", F.col("length").alias("n_words"), "shared", "total", "similarity"), F.struct("similarity", -F.col("start")))
+    best = F.max_by(F.struct("start", F.col("length").alias("n_words"), "shared", "total", "similarity"), F.struct("similarity", "aligned", -F.col("start")))
     return found.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best")).select("doc_id", "text_hash", "item_id", "best.*")
