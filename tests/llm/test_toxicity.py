@@ -78,6 +78,17 @@ def test_held_out_documents(spark):
             assert p.expected < toxicity.SIGNIFICANT and {w[0][:4], w[-1][:4]} <= {"zork", "vexm"} | {x[:4] for x in w if d % 6}
 
 
+def test_law_does_not_depend_on_the_length_of_texts(spark):
+    docs, labels = corpus()
+    some = [(d, f"{t} zorkle" if d is not None and d < 9000 and d % 50 == 1 else t, *x) for d, t, *x in docs]
+    laws = []
+    for times in (1, 10):
+        long = [(d, t and " ".join([t] * times), *x) for d, t, *x in some]
+        laws.append(toxicity.learn_words(frame(spark, long), spark.createDataFrame(labels, SCHEMA)))
+    assert np.array_equal(laws[0].words, laws[1].words) and np.allclose(laws[0].scores, laws[1].scores)
+    assert abs(laws[0].decay / laws[1].decay - 1) < 0.1, laws
+
+
 def test_nothing_to_learn(spark):
     docs, labels = corpus(30)
     for some in ([], [x for x in labels if x[2] == 0]):

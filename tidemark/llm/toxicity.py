@@ -141,13 +141,15 @@ COUNTS = ("toxic", "clean", "times")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a task's texts: toxic and other ones that hold each token, and times it occurs in the other ones."""
+    """Of a task's texts: toxic and other ones that hold each token, and times it occurs in the other ones;
+    for the null word, number and words of the other ones."""
     held: list[np.ndarray] = []
-    size = 0
+    size = texts = total = 0
     for batch in batches:
         for part in slices(batch, "text"):
             words = words_of(part.column("text"), lower=True, apart=NOT_ALNUM)
             label = part.column("toxic").to_numpy() == 1
+            texts, total = texts + int((~label).sum()), total + int(words.counts[~label].sum())
             for place, token in _tokens(words):
                 if not len(token):
                     continue
@@ -170,6 +172,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     held, size = [], 0
     if held:
         yield _rows(_summed(held))
+    if texts:
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (None, 0, texts, total)], ["word", *COUNTS])
 
 
 def _summed(held: list[np.ndarray]) -> np.ndarray:
@@ -209,16 +213,19 @@ def learn_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mod
     toxic, clean = (float(min(sample, sizes[k])) for k in (1, 0))
     prior = F.lit(PRIOR * toxic) * (F.col("toxic") + F.col("clean")) / F.lit(toxic + clean)
     odds = lambda x, n: F.log((x + prior) / F.greatest(F.lit(1.0), F.lit(n + PRIOR * toxic) - x - prior))
-    table = counts.where(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds(F.col("toxic"), toxic) - odds(F.col("clean"), clean))
+    every = F.col("word").isNull()
+    table = counts.where((F.col("toxic") >= LEAST_DOCS) | every).withColumn("odds", odds(F.col("toxic"), toxic) - odds(F.col("clean"), clean))
     table = table.withColumn("error", F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)))
-    table = table.where((F.col("odds") >= LEAN * F.col("error")) & (F.col("odds") - F.col("error") >= LEAST_ODDS))
-    best = table.orderBy(F.desc(F.col("odds") / F.col("error")), "word").limit(LISTED).collect()
-    if not best:
+    table = table.where(((F.col("odds") >= LEAN * F.col("error")) & (F.col("odds") - F.col("error") >= LEAST_ODDS)) | every)
+    best = table.where(~every).orderBy(F.desc(F.col("odds") / F.col("error")), "word").limit(LISTED).unionByName(table.where(every)).collect()
+    n_words = sum(r["times"] for r in best if r["word"] is None)
+    best = [r for r in best if r["word"] is not None]
+    if not best or not n_words:
         return none
     word = np.array([r["word"] for r in best], np.int64).view(np.uint64)
     score = np.array([r["odds"] - r["error"] for r in best])
-    # how often a word of clean text is listed, at about 500 words a text
-    often = np.array([r["times"] + 0.5 for r in best]) / (500 * clean + 0.5 * len(best))
+    # how often a word of clean text is listed
+    often = np.array([r["times"] + 0.5 for r in best]) / (n_words + 0.5 * len(best))
     order = np.argsort(word)
     # An unlisted word costs as much as makes clean text lose twice what its listed words bring.
     step = float(max(0.05, 2 * (often * score).sum()))
