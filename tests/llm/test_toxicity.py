@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -89,6 +90,14 @@ def test_law_does_not_depend_on_the_length_of_texts(spark):
     assert abs(laws[0].decay / laws[1].decay - 1) < 0.1, laws
 
 
+def test_lists_every_token_that_passes(spark):
+    r = random.Random(3)
+    words = ["".join(c) for c in r.sample(list(itertools.product("abcdefghijklmnopqrst", repeat=4)), 21_000)]
+    docs = [(d, " ".join(words) if d % 2 else "plain text " * 20, None, None, None) for d in range(60)]
+    model = toxicity.learn_words(frame(spark, docs), spark.createDataFrame([(d, 1, d % 2) for d in range(60)], SCHEMA))
+    assert len(model.words) == len(words)
+
+
 def test_nothing_to_learn(spark):
     docs, labels = corpus(30)
     for some in ([], [x for x in labels if x[2] == 0]):

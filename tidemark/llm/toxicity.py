@@ -38,8 +38,6 @@ from tidemark.llm.words import _BASE_2, NOT_ALNUM, Words, prints, slices, words_
 
 #: Labelled documents of either kind that words are learned from at most, chosen by a hash of their id.
 SAMPLE = 200_000
-#: Words listed at most, by their lean.
-LISTED = 20_000
 #: Standard errors by which a listed word leans to toxic text, and documents it has to occur in.
 LEAN, LEAST_DOCS = 3.0, 3
 #: Log-odds that the lower end of a listed token's has to reach: lesser leanings add up in long clean texts.
@@ -217,7 +215,8 @@ def learn_words(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mod
     table = counts.where((F.col("toxic") >= LEAST_DOCS) | every).withColumn("odds", odds(F.col("toxic"), toxic) - odds(F.col("clean"), clean))
     table = table.withColumn("error", F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)))
     table = table.where(((F.col("odds") >= LEAN * F.col("error")) & (F.col("odds") - F.col("error") >= LEAST_ODDS)) | every)
-    best = table.where(~every).orderBy(F.desc(F.col("odds") / F.col("error")), "word").limit(LISTED).unionByName(table.where(every)).collect()
+    # the sample and LEAST_DOCS bound their number
+    best = table.collect()
     n_words = sum(r["times"] for r in best if r["word"] is None)
     best = [r for r in best if r["word"] is not None]
     if not best or not n_words:
