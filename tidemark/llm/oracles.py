@@ -99,4 +99,49 @@ FROM scored LEFT JOIN cutoffs USING (stratum, rule)
 GROUP BY r, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed
 """
 
-ORACLES = {"op4_simhash_decontamination": LEAKS, "op6_risk_controlled_quality": QUALITY}
+#: Every phrase counted, every cut scored, every shorter phrase held against the longer ones around it.
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+    FROM documents)
+), words AS (
+  SELECT p, lang, unnest(w) AS w1, unnest(generate_series(1, len(w))) AS i
+  FROM (SELECT p, lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces)
+), places AS (
+  SELECT p, lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY p ORDER BY i)
+), ones AS (SELECT lang, w1, count(*) AS a FROM places GROUP BY ALL
+), twos AS (SELECT lang, w1, w2, count(*) AS a FROM places WHERE w2 IS NOT NULL GROUP BY ALL
+), threes AS (SELECT lang, w1, w2, w3, count(*) AS a FROM places WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), covered AS (
+  SELECT lang, w1, w2, max(a) AS longer
+  FROM (SELECT lang, w1, w2, a FROM threes UNION ALL SELECT lang, w2, w3, a FROM threes) GROUP BY ALL
+), cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.a, l.a AS l, r.a AS r, 1 AS k
+  FROM twos t JOIN ones l ON l.lang = t.lang AND l.w1 = t.w1 JOIN ones r ON r.lang = t.lang AND r.w1 = t.w2
+       LEFT JOIN covered c ON c.lang = t.lang AND c.w1 = t.w1 AND c.w2 = t.w2
+  WHERE t.a >= 10 AND (c.longer IS NULL OR 100 * c.longer < 50 * t.a)
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, l.a, r.a, 1
+  FROM threes t JOIN ones l ON l.lang = t.lang AND l.w1 = t.w1 JOIN twos r ON r.lang = t.lang AND r.w1 = t.w2 AND r.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, l.a, r.a, 2
+  FROM threes t JOIN twos l ON l.lang = t.lang AND l.w1 = t.w1 AND l.w2 = t.w2 JOIN ones r ON r.lang = t.lang AND r.w1 = t.w3
+), scored AS (
+  SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {
+    "op4_simhash_decontamination": LEAKS,
+    "op6_risk_controlled_quality": QUALITY,
+    "op13_collocations": COLLOCATIONS,
+}

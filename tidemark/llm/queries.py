@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, licences, neardups, packing, quality, substrings, suffixes, tokenfiles, toxicity
+from tidemark.llm import collocations, decontam, langid, licences, neardups, packing, personal, quality, substrings, suffixes, tokenfiles, toxicity, whitening
 from tidemark.llm.common import fold, place, table
 from tidemark.llm.oracles import ORACLES as ORACLES
 
@@ -68,6 +68,19 @@ def op10_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), n_passages)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = personal.spans(table(spark, sf_dir, "documents"), "doc_id")
+    return personal.digest(rows)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,5 +94,8 @@ QUERIES = {
         op8_setsketch_near_dedup,
         op9_rare_token_licences,
         op10_segment_toxicity,
+        op11_embedding_whitening,
+        op12_personal_data,
+        op13_collocations,
     )
 }
