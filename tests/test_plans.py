@@ -17,7 +17,7 @@ from tidemark.sources import readers
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "ExistingRDD")
 
 # These write tables and return a plain scan of them, or end in a driver-made empty frame.
-WRITERS = {n for n in contract.catalog.queries() if n.startswith(("roundtrip_", "registered_", "stream_"))}
+WRITERS = {n for n in contract.catalog.queries() if n.startswith(("roundtrip_", "registered_", "stream_", "scheduled_", "run_catalogue"))}
 
 
 def plan(df):

@@ -19,6 +19,7 @@ from tidemark.checks.fixtures import (
     TODAY,
     Fixtures,
 )
+from tidemark.counters import Counters
 from tidemark.functions import (
     json_str,
     ms_to_day,
@@ -41,6 +42,7 @@ from tidemark.operators.events import (
     only_day0,
     parse_events,
 )
+from tidemark.operators.partials import post_partials
 from tidemark.operators.posts import (
     latest_posts,
     merge_posts,
@@ -51,6 +53,7 @@ from tidemark.operators.posts import (
     users_from_table,
     with_state,
 )
+from tidemark.plans import jobs
 from tidemark.plans import snapshots as plans
 from tidemark.session import tune
 from tidemark.sources import readers, sinks
@@ -61,6 +64,7 @@ SINCE = shift_day(run_params(RUN_TS).date, -7)
 BOUNDS = window_bounds(REF)
 CARRY_CUTOFF = RUN_TS - 7 * DAY_MS
 TIMING_DATE = "2024-01-11"
+SAMPLE_KEYS = ["user_id", "post_id", "run_ts", "view_time"]
 
 _QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {}
 
@@ -559,6 +563,49 @@ def stream_snapshot(f):
     return readers.read_snapshot(f.spark, f"{folder}/snapshots", RUN_TS + 60_000)
 
 
+@_query
+def scheduled_runs(f):
+    """Scheduled runs while events arrive late, one run is made up for later, one breaks off half-way and one is repeated."""
+    folder, number = f.scratch(), F.col("event_id").cast("bigint")
+
+    def arrive(k: int) -> None:
+        """A fourth of the events of every date, whatever runs there were before."""
+        f.events.filter(number % 4 == k).write.mode("append").partitionBy("date").parquet(f"{folder}/events")
+
+    def run(minutes: int) -> None:
+        run_ts = RUN_TS - minutes * 60_000
+        jobs.run_snapshot(f.spark, f"{folder}/events", f.path("dumps"), f.mapping, f"{folder}/snapshots", run_ts)
+
+    f.dumps  # noqa: B018  (writes the dumps)
+    arrive(0)
+    run(45)
+    arrive(1)
+    run(15)
+    arrive(2)
+    run(30)
+    # counters of one table and no entry in the log: what a run leaves that is lost on the way
+    counters = Counters(f.spark, f"{folder}/snapshots_state")
+    counters.write("by_post", counters.new_part(), post_partials(f.events.filter(number % 4 == 2)))
+    arrive(3)
+    run(0)
+    run(0)
+    return readers.read_snapshot(f.spark, f"{folder}/snapshots", RUN_TS + 60_000)
+
+
+@_query
+def run_catalogue(f):
+    """Runs of some dates as the catalogue has them."""
+    base = f.scratch()
+    for days in (0, 1, 9):
+        run_ts = RUN_TS - days * DAY_MS
+        posts = f.truthy_posts.filter(F.col("created_ts") < run_ts).select(*schemas.POST.fieldNames())
+        sinks.write_snapshot(plans.assemble_a(posts, f.no_metrics, run_ts, f.mapping), base, run_ts)
+    found = readers.list_runs(f.spark, base, shift_day(TODAY, -7), TODAY)
+    entries = [(d, r, readers.run_entry(f.spark, base, d, r)) for d, r in found]
+    rows = [(d, r, e["run_ts"], e["rows"]) for d, r, e in entries]
+    return f.spark.createDataFrame(rows, "date string, run string, run_ts bigint, rows bigint")
+
+
 # Training
 
 
@@ -620,6 +667,11 @@ def stratified_sample(f):
     return training.balance(f.labels(), "sample", {0: 0.5, 1: 1.0, 2: 1.0})
 
 
+@_query
+def exact_stratified_sample(f):
+    return training.stratified_sample(f.labels(), "y", {0: 0.5, 1: 1.0, 2: 0.25}, SAMPLE_KEYS, "tidemark")
+
+
 # Tables written and read back
 
 

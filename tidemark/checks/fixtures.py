@@ -31,7 +31,7 @@ from tidemark.operators.labels import create_labels
 from tidemark.operators.partials import post_partials, user_partials
 from tidemark.operators.posts import latest_posts, place_map, with_state
 from tidemark.plans.daily import daily_features
-from tidemark.plans.snapshots import snapshot_full, window_events, with_rates
+from tidemark.plans.snapshots import full_metrics, snapshot_full, window_events, with_rates
 from tidemark.session import shared_dir
 
 RUN_TS = 1_705_838_400_000  # 2024-01-21 12:00 UTC, 17:30 in the feed's zone
@@ -326,6 +326,11 @@ class Fixtures:
 
         return self._stored("previous", build)
 
+    @property
+    def no_metrics(self) -> DataFrame:
+        """Metrics of no post."""
+        return full_metrics(self.events.filter(F.lit(False)))
+
     @property
     def state(self) -> tuple[DataFrame, DataFrame]:
         """Counters of the events up to the run before, as a scheduled run leaves them."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -154,3 +154,36 @@ def balance(train: DataFrame, mode: str = "weights", fractions=None, seed: int =
     )
     # At most one row per class, and y has three.
     return train.join(F.broadcast(weights), "y").select(*train.columns, "class_weight")
+
+
+def stratified_sample(
+    rows: DataFrame, by: str, fractions: Mapping[int, float], keys: list[str], salt: str = "", digits: int = 4
+) -> DataFrame:
+    """floor(fraction x rows of the class) rows of each class: those whose salted hash of ``keys`` is smallest.
+
+    The same rows on any partitioning and in any order, and a larger fraction keeps the rows of a smaller one. Classes not in
+    ``fractions`` and null ones have none; rows with equal keys are told apart by their other columns, and
+    null keys count as empty ones.
+
+    Classes are counted by the first hexadecimal digits of the hash, which gives the group that holds the last row wanted.
+    Rows of earlier groups stay, later ones go, and only those of that group are put in order, so that no
+    task holds a class.
+    """
+    columns = rows.columns
+    text = F.concat_ws("|", F.lit(salt), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    hashed = rows.select("*", F.md5(text.cast("binary")).alias("_hash")).withColumn("_group", F.substring("_hash", 1, digits))
+    counts = hashed.groupBy(by, "_group").agg(F.count(F.lit(1)).alias("_n"))  # 16**digits rows a class at most
+    per_class = Window.partitionBy(by)
+    share = F.lit(None).cast("double")
+    for value, fraction in fractions.items():
+        share = F.when(F.col(by) == value, F.lit(float(fraction))).otherwise(share)
+    # a product such as 0.29 x 100 that lies within rounding of a whole number is that number
+    wanted = F.floor(share * F.sum("_n").over(per_class) + F.lit(1e-9)).cast("bigint")
+    before = F.coalesce(F.sum("_n").over(per_class.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    left = counts.select(by, "_group", "_n", (wanted - before).alias("_left")).filter(F.col("_left") > 0)
+    kept = hashed.join(left, [by, "_group"])
+    whole = kept.filter(F.col("_left") >= F.col("_n"))
+    order = Window.partitionBy(by, "_group").orderBy("_hash", *[c for c in columns if c not in (by, *keys)])
+    last = kept.filter(F.col("_left") < F.col("_n")).withColumn("_rank", F.row_number().over(order))
+    last = last.filter(F.col("_rank") <= F.col("_left"))
+    return whole.select(*columns).unionByName(last.select(*columns))

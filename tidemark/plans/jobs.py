@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.counters import Counters, Entry, Part
 from tidemark.functions import day_ms, run_params, shift_day, window_bounds
 from tidemark.functions.dates import FEED_TZ
 from tidemark.functions.scalars import DAY_MS
@@ -22,14 +22,16 @@ from tidemark.operators.labels import (
 from tidemark.operators.posts import latest_posts, merge_posts
 from tidemark.operators.training import training_data
 from tidemark.plans.daily import daily_features
-from tidemark.plans.snapshots import snapshot_from_state, snapshot_full, snapshot_incremental, window_events
+from tidemark.plans.snapshots import snapshot_from_state, snapshot_full, snapshot_incremental
 from tidemark.session import drop_staged, shared_dir
 from tidemark.sources.readers import (
+    event_files,
     features_table,
     is_cold_start,
     labels_table,
     latest_run,
     read_dumps,
+    read_event_files,
     read_events,
     read_snapshot,
     snapshots_table,
@@ -41,7 +43,7 @@ from tidemark.sources.sinks import (
     write_snapshot,
     write_training,
 )
-from tidemark.streaming.snapshots import append_partials, read_state
+from tidemark.streaming.snapshots import count_batch
 from tidemark.vocab import VOCAB_A, Vocabulary
 
 
@@ -57,68 +59,80 @@ def run_snapshot(
     vocab: Vocabulary = VOCAB_A,
     faithful_delta: bool = False,
 ) -> str:
-    """One snapshot run. Returns ``full`` or ``incremental``.
+    """One snapshot run. Returns ``full``, ``backfill`` or ``incremental``.
 
-    A cold start reads the dumps and events of the whole window and writes their counters to a state
-    folder beside ``base``. Any other run reads today's dumps, the previous snapshot and the events
-    since the last counted one, and adds their counters to the state, from which the snapshot is
-    finished: conversions pair across runs and days expire. ``faithful_delta`` adds up snapshots
-    instead, which pairs within the delta only and keeps no state.
+    A cold start reads the dumps and events of the whole window and begins the counters beside ``base`` anew. Any later run
+    reads today's dumps, the previous snapshot and the event files that no run has counted, whatever the dates in them,
+    adds them to the counters and finishes the snapshot from these: late files and late events are in the next snapshot,
+    conversions pair across runs, and days expire. A repeated run counts what arrived in between. A run before the last
+    counted one is worked out from the log and leaves the counters alone. Each equals a full rebuild at its time.
+
+    Of two runs at a time, one fails with FileExistsError and can be repeated. ``faithful_delta`` adds up snapshots
+    instead, which pairs within the delta only and keeps no counters.
     """
     now = run_params(run_ts, tz)
-    since_date, state_dir = shift_day(now.date, -days), f"{base.rstrip('/')}_state"
+    since_date, until_date = shift_day(now.date, -days), shift_day(now.date, 1)
+    counters = Counters(spark, f"{base.rstrip('/')}_state")
+    head = None if faithful_delta else counters.head()
     slot = None if is_cold_start(spark, base, now.date) else latest_run(spark, base, run_ts, tz)
-    counted = None if faithful_delta else counted_until(spark, state_dir, run_ts)
-    if slot is None or (counted is None and not faithful_delta):
-        events = read_events(spark, events_path, since_date, shift_day(now.date, 1))
+    backfill = head is not None and run_ts < head.until
+    if backfill or slot is None or (head is None and not faithful_delta):
         posts = latest_posts(read_dumps(spark, dumps_path, since_date, now.date), "truthy")
-        if not faithful_delta:
-            begin_state(spark, state_dir, window_events(events, run_ts, days, tz), run_ts, vocab)
-        write_snapshot(snapshot_full(events, posts, run_ts, mapping, days, tz, vocab), base, run_ts, tz=tz)
-        return "full"
+        if backfill or faithful_delta:
+            events = read_events(spark, events_path, since_date, until_date)
+            snapshot = snapshot_full(events, posts, run_ts, mapping, days, tz, vocab)
+        else:
+            head = count_arrivals(counters, head, events_path, since_date, until_date, run_ts, vocab, anew=True)
+            snapshot = _from_counters(counters, head, posts, run_ts, mapping, days, tz)
+        write_snapshot(snapshot, base, run_ts, tz=tz)
+        return "backfill" if backfill else "full"
     today = latest_posts(read_dumps(spark, dumps_path, now.date, now.date), "truthy")
     previous = read_snapshot(spark, base, run_ts, tz)
     if faithful_delta:
-        events = read_events(spark, events_path, since_date, shift_day(now.date, 1))
+        events = read_events(spark, events_path, since_date, until_date)
         prev_ts = previous.agg(F.max("run_ts")).first()[0]
         if prev_ts is None:  # a run without posts; its slot is known to the minute
             date, run = slot
             prev_ts = day_ms(date, tz) + (int(run[:2]) * 60 + int(run[2:])) * 60_000
         snapshot = snapshot_incremental(previous, today, events, run_ts, prev_ts, mapping, days, tz, vocab)
     else:
-        started, prev_ts = counted
-        first = shift_day(run_params(prev_ts, "UTC").date, -1)
-        events = read_events(spark, events_path, first, shift_day(now.date, 1))
-        delta = events.filter((F.col("event_time") >= prev_ts) & (F.col("event_time") < run_ts))
-        append_partials(delta, run_ts, state_dir, vocab)
-        state = read_state(spark, state_dir, since_date, shift_day(now.date, 1))
-        own = F.col("batch").between(started, run_ts)
+        head = count_arrivals(counters, head, events_path, since_date, until_date, run_ts, vocab)
         posts = merge_posts(today, previous, run_ts - days * DAY_MS)
-        snapshot = snapshot_from_state(tuple(t.filter(own) for t in state), posts, run_ts, mapping, days, tz)
+        snapshot = _from_counters(counters, head, posts, run_ts, mapping, days, tz)
     write_snapshot(snapshot, base, run_ts, tz=tz)
     return "incremental"
 
 
-def begin_state(
-    spark: SparkSession, state_dir: str, events: DataFrame, run_ts: int, vocab: Vocabulary = VOCAB_A
-) -> None:
-    """Counters of a cold start; state of earlier starts no longer counts."""
-    append_partials(events, run_ts, state_dir, vocab)
-    start = spark.range(1).select(F.lit(run_ts).cast("bigint").alias("started"))
-    start.write.mode("overwrite").parquet(f"{state_dir}/starts/start={run_ts}")
-
+def count_arrivals(
+    counters: Counters,
+    head: Entry | None,
+    events_path: str,
+    first: str,
+    last: str,
+    run_ts: int,
+    vocab: Vocabulary = VOCAB_A,
+    anew: bool = False,
+) -> Entry:
+    """Counts the event files of some dates that are not in the counters' ledger, and enters them there.
 
-def counted_until(spark: SparkSession, state_dir: str, run_ts: int) -> tuple[int, int] | None:
-    """(run of the last cold start, last run whose events are counted) before a run; None without state."""
-    try:
-        starts = spark.read.schema("started bigint").parquet(f"{state_dir}/starts")
-        started = starts.filter(F.col("started") < run_ts).agg(F.max("started")).first()[0]
-        batches = read_state(spark, state_dir)
-        runs = [t.select("batch").distinct() for t in batches]
-        last = runs[0].unionAll(runs[1]).filter(F.col("batch") < run_ts).agg(F.max("batch")).first()[0]
-    except AnalysisException:
-        return None
-    return None if started is None else (started, max(started, last or started))
+    The files are written down first and then read by that list, so that what is counted is what the ledger holds.
+    """
+    spark, name = counters.spark, counters.new_part()
+    listed = event_files(spark, events_path, first, last)
+    if head is not None and not anew:
+        listed = listed.join(counters.read("files", head, first, last).select("uri"), "uri", "left_anti")
+    found = Part(name, 0, 1, {"files": counters.write("files", name, listed)})
+    events = read_event_files(spark, events_path, counters.read_part("files", found))
+    batch = 1 if head is None else head.batch + 1
+    return count_batch(counters, head, events, batch, run_ts, first, vocab, sources=found, anew=anew)
+
+
+def _from_counters(
+    counters: Counters, head: Entry, posts: DataFrame, run_ts: int, mapping: DataFrame, days: int, tz: str
+) -> DataFrame:
+    today = run_params(run_ts, tz).date
+    state = tuple(counters.read(t, head, shift_day(today, -days), shift_day(today, 1)) for t in ("by_post", "by_user"))
+    return snapshot_from_state(state, posts, run_ts, mapping, days, tz)
 
 
 def run_daily(

@@ -1,20 +1,44 @@
-"""Readers. Tables are read by base path with partition filters, so a missing date is no error."""
+"""Readers. A missing date is no error. Given a range of dates, a reader lists the folders of these dates and no others."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from tidemark import schemas
+from tidemark import files, schemas
 from tidemark.functions import ms_to_day, named, on_dates, run_params, shift_day, to_epoch_ms
 from tidemark.functions.dates import FEED_TZ
 from tidemark.vocab import DUMP_EVENT
 
 
+def dates_between(start: str, end: str) -> list[str]:
+    days = [start]
+    while days[-1] < end:
+        days.append(shift_day(days[-1], 1))
+    return days
+
+
+def _dated(
+    reader: DataFrameReader, form: str, schema, base: str, start: str | None, end: str | None, under: str = ""
+) -> DataFrame:
+    """A table laid out by ``date=`` below ``base`` and ``under``, of a range of dates.
+
+    An open range is left to partition filters; of a closed one, only the folders that exist are opened.
+    """
+    reader, base = reader.format(form).schema(schema), base.rstrip("/")
+    if start is None or end is None:
+        return reader.load(base).filter(on_dates(start, end))
+    spark = SparkSession.active()
+    found = files.present(spark, [f"{base}{under}/date={d}" for d in dates_between(start, end)] if start <= end else [])
+    if not found:
+        return spark.createDataFrame([], schema)
+    return reader.option("basePath", base).load(found).filter(on_dates(start, end))
+
+
 def read_events(
     spark: SparkSession,
     path: str,
@@ -23,7 +47,7 @@ def read_events(
     names: Iterable[str] | None = None,
 ) -> DataFrame:
     """Event log by date range and event names; both filters reach the scan."""
-    events = spark.read.schema(schemas.EVENT_LOG).parquet(path).filter(on_dates(start, end))
+    events = _dated(spark.read, "parquet", schemas.EVENT_LOG, path, start, end)
     return events if names is None else events.filter(named(names))
 
 
@@ -31,8 +55,38 @@ def read_dumps(
     spark: SparkSession, base: str, since: str | None = None, until: str | None = None
 ) -> DataFrame:
     """Classification dumps under ``event_name=/date=`` folders, over a date range."""
-    dumps = spark.read.schema(schemas.DUMP_LOG).parquet(base)
-    return dumps.filter((F.col("event_name") == DUMP_EVENT) & on_dates(since, until))
+    dumps = _dated(spark.read, "parquet", schemas.DUMP_LOG, base, since, until, f"/event_name={DUMP_EVENT}")
+    return dumps.filter(F.col("event_name") == DUMP_EVENT)
+
+
+def event_files(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
+    """(date, path, uri) of the event log's files of a range of dates, from the listing alone.
+
+    Files do not change once they are there; ``uri`` is how a scan names them.
+    """
+    found = files.present(spark, [f"{path.rstrip('/')}/date={d}" for d in dates_between(start, end)])
+    if not found:
+        return spark.createDataFrame([], "date string, path string, uri string")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(found)
+    date = F.regexp_extract("path", "/date=([^/]+)/", 1).alias("date")
+    return listed.select(date, "path", F.col("_metadata.file_path").alias("uri"))
+
+
+#: Files named one by one to a scan; of more, those wanted are picked from a scan of their dates.
+NAMED = 10_000
+
+
+def read_event_files(spark: SparkSession, path: str, chosen: DataFrame, named: int = NAMED) -> DataFrame:
+    """Rows of some files of the event log, as :func:`event_files` lists them."""
+    some = chosen.select("path").limit(named + 1).collect()
+    reader = spark.read.schema(schemas.EVENT_LOG).option("basePath", path.rstrip("/"))
+    if not some:
+        return spark.createDataFrame([], schemas.EVENT_LOG)
+    if len(some) <= named:
+        return reader.parquet(*[r["path"] for r in some])
+    first, last = chosen.agg(F.min("date"), F.max("date")).first()
+    rows = read_events(spark, path, first, last).select("*", F.col("_metadata.file_path").alias("uri"))
+    return rows.join(chosen.select("uri"), "uri", "left_semi").select(*schemas.EVENT_LOG.fieldNames())
 
 
 def read_place_map(spark: SparkSession, path: str) -> DataFrame:
@@ -69,7 +123,7 @@ def snapshots_table(
         f if f.name != "run_ts" else StructType().add("run_ts", StringType()).fields[0]
         for f in _snapshot_layout().fields
     ]
-    raw = spark.read.schema(StructType(fields)).json(base).filter(on_dates(start, end))
+    raw = _dated(spark.read, "json", StructType(fields), base, start, end)
     text = F.col("run_ts")
     return raw.withColumn("run_ts", F.coalesce(text.try_cast("bigint"), to_epoch_ms(text)))
 
@@ -81,32 +135,40 @@ def read_snapshot_ts(spark: SparkSession, base: str, ts: int | None = None) -> D
     return table if ts is None else table.filter(F.col("ts") == ts)
 
 
-def date_glob(base: str, start: str, end: str) -> str:
-    """Path that lists the ``date=`` folders of a range and no others."""
-    days = [start]
-    while days[-1] < end:
-        days.append(shift_day(days[-1], 1))
-    return f"{base.rstrip('/')}/date={{{','.join(days)}}}"
+def catalogue(base: str, date: str) -> str:
+    """Folder that names the finished runs of a date. Spark takes no notice of it when it reads ``base``."""
+    return f"{base.rstrip('/')}/_runs/date={date}"
 
 
-def list_runs(spark: SparkSession, base: str, start: str, end: str) -> DataFrame | None:
-    """(date, run) folders of a date range that hold files, from the listing alone.
+def list_runs(spark: SparkSession, base: str, start: str, end: str) -> list[tuple[str, str]]:
+    """(date, run) of the finished runs of a date range, in order.
 
-    None when the range has no folder. History outside the range is not listed.
+    They are looked up in the catalogue that :func:`tidemark.sources.sinks.write_snapshot` keeps; no data folder is opened.
+    A date that is not in it, since others wrote it, is listed.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        found = files.load(date_glob(base, start, end))
-    except AnalysisException:
-        return None
-    name = lambda part: F.regexp_extract("path", f"/{part}=([^/]+)/", 1)
-    return found.select(name("date").alias("date"), name("run").alias("run")).distinct()
+    found, unknown = [], []
+    for date in dates_between(start, end):
+        runs = files.names(spark, catalogue(base, date))
+        found += [(date, n.removesuffix(".json")) for n in runs]
+        unknown += [] if runs else [f"{base.rstrip('/')}/date={date}"]
+    folders = files.present(spark, unknown)
+    if folders:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+        name = lambda part: F.regexp_extract("path", f"/{part}=([^/]+)/", 1)
+        slots = listed.select(name("date").alias("date"), name("run").alias("run")).distinct()
+        found += [(r["date"], r["run"]) for r in slots.collect()]  # 96 a day at most
+    return sorted(found)
+
+
+def run_entry(spark: SparkSession, base: str, date: str, run: str) -> dict | None:
+    """What the catalogue holds of a run: its time, its rows and its files; None if it is not in it."""
+    path = f"{catalogue(base, date)}/{run}.json"
+    return json.loads(files.read_text(spark, path)) if files.present(spark, [path]) else None
 
 
 def is_cold_start(spark: SparkSession, base: str, date: str) -> bool:
     """True when neither the date nor the day before has a snapshot."""
-    runs = list_runs(spark, base, shift_day(date, -1), date)
-    return runs is None or runs.isEmpty()
+    return not list_runs(spark, base, shift_day(date, -1), date)
 
 
 def latest_run(
@@ -115,12 +177,7 @@ def latest_run(
     """(date, run) of the last snapshot strictly before a run, at most ``days`` dates back."""
     now = run_params(before_ts, tz)
     runs = list_runs(spark, base, shift_day(now.date, -days), now.date)
-    if runs is None:
-        return None
-    slot = F.struct("date", "run")
-    earlier = slot < F.struct(F.lit(now.date).alias("date"), F.lit(now.slot).alias("run"))
-    found = runs.filter(earlier).agg(F.max(slot).alias("slot")).first().slot
-    return None if found is None else (found.date, found.run)
+    return max((slot for slot in runs if slot < (now.date, now.slot)), default=None)
 
 
 def read_snapshot(
@@ -148,10 +205,10 @@ def labels_table(
     bounded on both sides.
     """
     day = ms_to_day(F.col("run_ts"), tz)
-    table = spark.read.schema(schemas.LABELS).parquet(base)
-    if start is not None:
-        table = table.filter((F.col("date") >= shift_day(start, -1)) & (day >= start))
-    return table if end is None else table.filter((F.col("date") <= shift_day(end, 3)) & (day <= end))
+    first, last = start and shift_day(start, -1), end and shift_day(end, 3)
+    table = _dated(spark.read, "parquet", schemas.LABELS, base, first, last)
+    table = table if start is None else table.filter(day >= start)
+    return table if end is None else table.filter(day <= end)
 
 
 def features_table(
@@ -159,7 +216,7 @@ def features_table(
 ) -> DataFrame:
     """One daily feature table over a date range."""
     path = f"{base.rstrip('/')}/{kind}"
-    return spark.read.schema(schemas.FEATURES[kind]).parquet(path).filter(on_dates(start, end))
+    return _dated(spark.read, "parquet", schemas.FEATURES[kind], path, start, end)
 
 
 def as_table(df: DataFrame, name: str) -> DataFrame:

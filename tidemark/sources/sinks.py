@@ -3,14 +3,17 @@ others: a repeated run changes nothing, and one with corrected input leaves noth
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import schemas
-from tidemark.functions import ms_to_day, run_params, shift_day
+from tidemark import files, schemas
+from tidemark.functions import ms_to_day, run_params
 from tidemark.functions.dates import FEED_TZ
+from tidemark.sources.readers import catalogue
+from tidemark.sources.readers import dates_between as dates_between
 
 
 def _replace(df: DataFrame, *partitions: str) -> DataFrameWriter:
@@ -39,20 +42,22 @@ def _replace_dates(df: DataFrame, base: str, owned: Iterable[str] | None) -> Non
             _folder(none, "date").parquet(f"{base.rstrip('/')}/date={date}")
 
 
-def dates_between(start: str, end: str) -> list[str]:
-    days = [start]
-    while days[-1] < end:
-        days.append(shift_day(days[-1], 1))
-    return days
-
-
 def write_snapshot(
     df: DataFrame, base: str, run_ts: int, layout: str = "slot", tz: str = FEED_TZ
 ) -> None:
-    """JSON lines under ``date=/run=HHMM/``, or under ``ts=<ms>/`` with ``layout="ts"``."""
+    """JSON lines under ``date=/run=HHMM/``, or under ``ts=<ms>/`` with ``layout="ts"``.
+
+    A finished run of the first layout is entered in the catalogue, with its time, rows and files, after its files are there.
+    """
     run = run_params(run_ts, tz)
+    base = base.rstrip("/")
     own = f"ts={run_ts}" if layout == "ts" else f"date={run.date}/run={run.slot}"
-    _folder(df).option("ignoreNullFields", "false").json(f"{base.rstrip('/')}/{own}")
+    _folder(df).option("ignoreNullFields", "false").json(f"{base}/{own}")
+    if layout != "ts":
+        spark = df.sparkSession
+        found = [f"{own}/{n}" for n in files.names(spark, f"{base}/{own}") if not n.startswith(("_", "."))]
+        entry = {"run_ts": run_ts, "rows": spark.read.text(f"{base}/{own}").count(), "files": found}
+        files.write(spark, f"{catalogue(base, run.date)}/{run.slot}.json", json.dumps(entry))
 
 
 def write_features(df: DataFrame, base: str, kind: str, date: str) -> None:

@@ -1,97 +1,94 @@
 """Snapshots from an event stream.
 
-Each micro-batch adds its counters to an append-only table laid out by event date and batch;
-a snapshot sums that table over the window. A replayed batch rewrites its own partitions with
-the same content, so results are exact after a failure, and days past the window are simply
-no longer read. Events count once, by their ids, also when they come late; those at or after a run
-wait for the next one.
+Each micro-batch adds a part to the counters at rest (:mod:`tidemark.counters`) and one entry to their log; a snapshot sums
+the parts over the window. A replayed batch is known by its number and counts nothing, a half-written one was never
+counted, and days past the window leave with their parts. Events count once, by their ids, also when they come late; those
+at or after a run wait for the next one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import schemas
+from tidemark.counters import LATER, Counters, Entry, Part
 from tidemark.functions import run_params, shift_day
 from tidemark.functions.dates import FEED_TZ
 from tidemark.operators.partials import post_partials, user_partials
 from tidemark.plans.snapshots import snapshot_from_state
-from tidemark.sources.readers import date_glob
 from tidemark.sources.sinks import write_snapshot
 from tidemark.vocab import VOCAB_A, Vocabulary
 
 State = tuple[DataFrame, DataFrame]
 
-_BY_POST = (
-    "date string, batch bigint, post_id string, user_id string, engaged bigint, locks bigint, "
-    "initiates bigint, shares bigint, reactions bigint, comments bigint, media_clicks bigint, "
-    "read_mode bigint, dur_sum double, dur_n bigint"
-)
-_BY_USER = "date string, batch bigint, user_id string, day0_calls bigint, trials bigint"
-_TABLES = {"by_post": _BY_POST, "by_user": _BY_USER}
-
 
 def read_event_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Event-log files as they arrive."""
     return spark.readStream.schema(schemas.EVENT_LOG).options(**options).parquet(path)
 
 
-def new_events(batch: DataFrame, batch_id: int, state_dir: str) -> DataFrame:
+def new_events(batch: DataFrame, counters: Counters, head: Entry | None) -> DataFrame:
     """Events of a batch that no earlier batch had, however late they come.
 
     Ids are kept by event date; only those of the batch's own dates are read.
     """
-    spark, base = batch.sparkSession, f"{state_dir}/ids"
     rows = batch.dropDuplicates(["date", "event_id"])
-    dates = [r["date"] for r in rows.select("date").distinct().collect()]
-    try:
-        known = spark.read.schema("event_id string, date string, batch bigint").parquet(base)
-        seen = known.filter(F.col("date").isin(dates) & (F.col("batch") < batch_id))
-        rows = rows.join(seen.select("date", "event_id"), ["date", "event_id"], "left_anti")
-    except AnalysisException:  # the first batch
-        pass
-    ids = rows.select("event_id", "date", F.lit(batch_id).cast("bigint").alias("batch"))
-    _append(ids, base)
-    return rows.select(*batch.columns)
-
-
-def _append(rows: DataFrame, base: str) -> None:
-    """Files rows under their date and batch; a replayed batch replaces its own."""
-    (
-        rows.hint("rebalance", F.col("date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "batch")
-        .parquet(base)
-    )
-
-
-def due_events(batch: DataFrame, batch_id: int, state_dir: str, run_ts: int) -> DataFrame:
-    """Events before the run, of this batch and of those put off so far; later ones are put off.
-
-    A snapshot knows nothing of events at or after its run. They wait in a folder for the next batch.
+    dates = sorted(r["date"] for r in rows.select("date").distinct().collect() if r["date"] is not None)
+    if head is None or not dates:
+        return rows
+    seen = counters.read("ids", head, dates[0], dates[-1]).filter(F.col("date").isin(dates))
+    return rows.join(seen, ["date", "event_id"], "left_anti").select(*batch.columns)
+
+
+def count_batch(
+    counters: Counters,
+    head: Entry | None,
+    events: DataFrame,
+    batch: int,
+    run_ts: int,
+    oldest: str,
+    vocab: Vocabulary = VOCAB_A,
+    sources: Part | None = None,
+    anew: bool = False,
+    ids: bool = False,
+) -> Entry:
+    """Counts the events before a run, of this batch and of those put off so far, and puts the later ones off.
+
+    ``sources`` is a part that holds the files the events were read from, ``ids`` keeps their ids. All of it counts with
+    the one entry added last. Parts are merged after that, as need be.
     """
-    spark = batch.sparkSession
-    try:
-        waiting = spark.read.schema(batch.schema).parquet(f"{state_dir}/later/{batch_id - 1}")
-        batch = batch.unionByName(waiting)
-    except AnalysisException:  # the first batch
-        pass
-    batch.filter(F.col("event_time") >= run_ts).write.mode("overwrite").parquet(f"{state_dir}/later/{batch_id}")
-    return batch.filter(F.col("event_time") < run_ts)
+    name = sources.name if sources else counters.new_part()
+    dates = dict(sources.dates) if sources else {}
+    if ids:
+        dates["ids"] = counters.write("ids", name, events.select("date", "event_id"))
+    waiting = events if anew or head is None or head.later is None else events.unionByName(counters.put_off(head))
+    later = waiting.filter(F.col("event_time") >= run_ts)
+    rest = counters.new_part()
+    put_off = counters.write(LATER, rest, later)
+    due = waiting.filter(F.col("event_time") < run_ts)
+    dates["by_post"] = counters.write("by_post", name, post_partials(due, vocab))
+    dates["by_user"] = counters.write("by_user", name, user_partials(due, vocab))
+    part = Part(name, 0, 1, dates)
+    entry = counters.commit(head, batch, run_ts, part, oldest, Part(rest, 0, 0, {LATER: put_off}), anew)
+    return counters.compact(entry, oldest)
+
+
+#: A time and a date beyond all others, for counts without a window.
+_NEVER, _EVER = 1 << 62, ""
 
 
 def append_partials(
     batch: DataFrame, batch_id: int, state_dir: str, vocab: Vocabulary = VOCAB_A
 ) -> None:
-    parts = {"by_post": post_partials(batch, vocab), "by_user": user_partials(batch, vocab)}
-    for table, rows in parts.items():
-        _append(rows.withColumn("batch", F.lit(batch_id).cast("bigint")), f"{state_dir}/{table}")
+    """Counts a batch unless it was counted before."""
+    counters = Counters(batch.sparkSession, state_dir)
+    head = counters.head()
+    if head is None or batch_id > head.batch:
+        count_batch(counters, head, batch, batch_id, _NEVER, _EVER, vocab)
 
 
 def read_state(
@@ -99,18 +96,11 @@ def read_state(
 ) -> State:
     """(per post, per user) counters of all batches so far, of a range of event dates.
 
-    With a range, only the folders of its dates are listed.
+    Only the folders of these dates are opened.
     """
-
-    def table(name: str) -> DataFrame:
-        base = f"{state_dir}/{name}"
-        reader = spark.read.schema(_TABLES[name]).option("basePath", base)
-        try:
-            return reader.parquet(base if start is None else date_glob(base, start, end))
-        except AnalysisException:
-            return spark.createDataFrame([], _TABLES[name])
-
-    return table("by_post"), table("by_user")
+    counters = Counters(spark, state_dir)
+    head = counters.head()
+    return counters.read("by_post", head, start, end), counters.read("by_user", head, start, end)
 
 
 def stream_snapshots(
@@ -134,14 +124,18 @@ def stream_snapshots(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark, run_ts = batch.sparkSession, clock(batch_id)
-        fresh = new_events(batch, batch_id, state_dir).persist()
-        try:
-            append_partials(due_events(fresh, batch_id, state_dir, run_ts), batch_id, state_dir, vocab)
-        finally:
-            fresh.unpersist()
         today = run_params(run_ts, tz).date
+        oldest = shift_day(today, -days)
+        counters = Counters(spark, state_dir)
+        head = counters.head()
+        if head is None or batch_id > head.batch:
+            fresh = new_events(batch, counters, head).persist()
+            try:
+                count_batch(counters, head, fresh, batch_id, run_ts, oldest, vocab, ids=True)
+            finally:
+                fresh.unpersist()
         # Event dates may be those of another zone, up to a day ahead of the run's.
-        state = read_state(spark, state_dir, shift_day(today, -days), shift_day(today, 1))
+        state = read_state(spark, state_dir, oldest, shift_day(today, 1))
         snapshot = snapshot_from_state(state, posts_at(run_ts), run_ts, mapping, days, tz)
         write_snapshot(snapshot, out, run_ts, tz=tz)
 
