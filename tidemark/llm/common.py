@@ -52,3 +52,14 @@ def partitions(spark: SparkSession) -> int:
 def fold(column: str = "doc_id") -> F.Column:
     """crc32 of an id as text, as the contracts use it to set rows aside."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of a table has, whatever case: the given ones, with as many underscores before them as that takes."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import unused
 from tidemark.llm.words import Words, slices, split, text_bytes
 
 SPANS = "doc_id long, text_hash int, start int, n int"
@@ -50,15 +51,17 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the words of ``spans`` and the white space after each of them taken out of their
-    texts, and n_chars counted anew for these; all other rows stay as they are, nulls too."""
-    listed = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
-    listed = listed.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
-    same = (docs["doc_id"] == F.col("_doc")) & (F.hash(docs["text"]) == F.col("_hash"))
-    rows = docs.join(listed.hint("merge"), same, "left").select(*(docs[x] for x in docs.columns), F.col("_spans.start").alias("_start"), F.col("_spans.n").alias("_n"))
-    kinds = T.StructType([*docs.schema.fields, T.StructField("_cut", T.BooleanType())])
-    cut = rows.mapInArrow(_without, kinds)
-    n_chars = F.when(F.col("_cut"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
+    texts, and n_chars, if there is such a column, counted anew for these; all other rows stay as they are, nulls too."""
+    doc, text_hash, held, start, n, cut = unused(docs, "_doc", "_hash", "_spans", "_start", "_n", "_cut")
+    listed = spans.groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(text_hash)).agg(F.collect_list(F.struct("start", "n")).alias(held))
+    same = (docs["doc_id"] == F.col(doc)) & (F.hash(docs["text"]) == F.col(text_hash))
+    rows = docs.join(listed.hint("merge"), same, "left").select(*(docs[x] for x in docs.columns), F.col(held)["start"].alias(start), F.col(held)["n"].alias(n))
+    kinds = T.StructType([*docs.schema.fields, T.StructField(cut, T.BooleanType())])
+    done = rows.mapInArrow(lambda batches: _without(batches, start, n, cut), kinds)
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col(cut), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        done = done.withColumn("n_chars", n_chars)
+    return done.select(*docs.columns)
 
 
 def _flags(part: pa.RecordBatch, words: Words, start: str = "start", n: str = "n") -> np.ndarray:
@@ -72,12 +75,12 @@ def _flags(part: pa.RecordBatch, words: Words, start: str = "start", n: str = "n
     return np.cumsum(edges[:-1]) > 0
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _without(batches: Iterator[pa.RecordBatch], start: str, n: str, cut: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             data, offsets = text_bytes(part.column("text"))
             words = split(data, offsets)
-            gone = np.flatnonzero(_flags(part, words, "_start", "_n"))
+            gone = np.flatnonzero(_flags(part, words, start, n))
             # up to the next word of the document or its end
             after = np.append(words.start, len(data))[gone + 1]
             edges = np.zeros(len(data) + 1, np.int8)
@@ -86,9 +89,9 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = np.cumsum(edges[:-1], dtype=np.int8) == 0
             text = strings(data[kept], np.append(0, np.cumsum(kept))[offsets[1:]])
             text = pc.if_else(part.column("text").is_valid(), text, pa.scalar(None, pa.string()))
-            names = [x for x in part.schema.names if x not in ("_start", "_n")]
+            names = [x for x in part.schema.names if x not in (start, n)]
             columns = [text if x == "text" else part.column(x) for x in names]
-            yield pa.RecordBatch.from_arrays([*columns, part.column("_start").is_valid()], [*names, "_cut"])
+            yield pa.RecordBatch.from_arrays([*columns, part.column(start).is_valid()], [*names, cut])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
