@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 from cases import corpus, frame
@@ -147,3 +148,32 @@ def test_no_python_on_the_way(spark, sf_dir):
     for name in ("op4_simhash_decontamination", "op6_risk_controlled_quality"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_repetitive_and_long_texts_take_few_windows(spark):
+    items = [(1, "ha " * 200), (2, "a b " * 60), (3, " ".join("xyz"[k % 3] for k in range(90))), (4, "once upon a time there was a very small item of words")]
+    docs = [(1, "ha " * 20_000), (2, "b a " * 9_000 + "end"), (3, "x y z " * 3_000), (4, "ha " * 150), (5, "q " * 20_000 + items[3][1] + " q" * 2_000)]
+    begin = time.perf_counter()
+    rows = [(d, t, None, None, None) for d, t in docs]
+    got = decontam.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert time.perf_counter() - begin < 60
+    found = {(x.doc_id, x.item_id): (x.shared, x.total) for x in got}
+    assert found.pop((4, 1), (146, 196)) == (146, 196)  # 150 equal words: just below the threshold
+    assert found == {(1, 1): (196, 196), (2, 2): (116, 116), (3, 3): (86, 86), (5, 4): (8, 8)}
+
+
+def test_low_variety_equals_all_windows(spark):
+    r = random.Random(6)
+    items = [(k, " ".join(r.choice("aaab") for _ in range(n))) for k, n in enumerate((12, 20, 30))] + [(9, "a b c d " * 6)]
+    rows = [(k, " ".join(r.choice("aaab") for _ in range(r.randint(10, 60))), None, None, None) for k in range(40)]
+    rows += [(50, "a b c d " * 20, None, None, None), (51, "b b b b a " * 12, None, None, None), (52, items[2][1] + " c " + items[2][1], None, None, None)]
+    want = all_windows(rows, items)
+    got = {(x.doc_id, x.item_id): x for x in decontam.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == set(want) and len(want) > 3
+    for k, x in got.items():
+        assert (x.shared, x.total) == want[k][:2] and x.start in want[k][2], k
+
+
+def test_simhash_of_a_long_array(spark):
+    h = spark.range(1).selectExpr("transform(sequence(1, 70000), i -> CASE WHEN i <= 36000 THEN -1L ELSE 5L END) AS h")
+    assert decontam.simhash(h, "h", "p").first().p == -1

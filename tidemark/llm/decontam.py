@@ -31,6 +31,8 @@ from tidemark.llm.common import SPACE, SPACE_CHARS, ship, stage
 SHINGLE = 5
 RADIUS = 23
 BITS = 64
+#: Length of the longest cycle of words whose equal windows are told apart.
+PERIOD = 4
 #: Item shingles up to which their table is broadcast (16 bytes each); beyond, both sides are shuffled.
 BROADCAST = 2_000_000
 
@@ -50,10 +52,10 @@ def shingles(size: int = SHINGLE, column: str = "w") -> Column:
 def simhash(df: DataFrame, source: str, name: str) -> DataFrame:
     """Adds the SimHash of an array of fingerprints, each bit the majority of its elements.
 
-    Counts of 64 bits are added four at a time, in 16-bit lanes of 16 longs; arrays hold up to 65,535.
+    Counts of 64 bits are added two at a time, in 32-bit lanes of 32 longs; no array is longer than these hold.
     """
-    lanes = f"transform(sequence(0, 15), j -> aggregate({source}, 0L, (a, x) -> a + (shiftrightunsigned(x, j) & 281479271743489L)))"
-    count = "(shiftrightunsigned(lanes[CAST(b % 16 AS INT)], CAST(16 * (b DIV 16) AS INT)) & 65535L)"
+    lanes = f"transform(sequence(0, 31), j -> aggregate({source}, 0L, (a, x) -> a + (shiftrightunsigned(x, j) & 4294967297L)))"
+    count = "(shiftrightunsigned(lanes[CAST(b % 32 AS INT)], CAST(32 * (b DIV 32) AS INT)) & 4294967295L)"
     df = df.withColumn("lanes", F.expr(lanes))
     return df.withColumn(name, F.expr(f"aggregate(sequence(0, 63), 0L, (a, b) -> a | CASE WHEN 2 * {count} > size({source}) THEN shiftleft(1L, b) ELSE 0L END)")).drop("lanes")
 
@@ -97,6 +99,17 @@ def spots_of(lined: DataFrame, percent: int) -> DataFrame:
     return spots.select("doc_id", "text_hash", F.expr("struct(item_words, length, aligned, array_except(starts, aligned) AS others)").alias("spot"))
 
 
+def told_apart(starts: str) -> str:
+    """Ascending starts without those whose window has the shingles of one up to PERIOD places before it, in any order.
+
+    From a start to one p places on, a window loses its first p shingles and takes in p new ones. Words that repeat in a short
+    cycle give windows of very few kinds, of which the first ones stay.
+    """
+    before = f"(CASE WHEN k < p AND get(of, i - k - 1) = x - p THEN sort_array(slice(shingles, x - p + 1, p)) = sort_array(slice(shingles, x - p + 1 + s.length - {SHINGLE - 1}, p)) ELSE false END)"
+    known = f"exists(sequence(1, {PERIOD}), p -> exists(sequence(0, {PERIOD - 1}), k -> {before}))"
+    return f"aggregate(array({starts}), CAST(array() AS array<int>), (a, of) -> filter(of, (x, i) -> NOT {known}))"
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """One row for each document and item found in it, with its best window: doc_id, text_hash, item_id,
     start (in words), n_words, shared, total, similarity."""
@@ -123,10 +136,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame
     held = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     held = held.alias("d").join(spots.alias("s"), same).select("d.doc_id", "d.text_hash", words(F.lower("d.text")).alias("w"), "s.spots")
     held = held.withColumn("shingles", shingles())
-    window = "struct(s.item_words AS item_words, x AS start, {} AS aligned, s.length AS length, slice(shingles, x + 1, s.length - 4) AS window_shingles)"
-    each = ", ".join(f"transform(s.{name}, x -> {window.format(flag)})" for name, flag in (("aligned", "true"), ("others", "false")))
-    inside = f"flatten(transform(spots, s -> concat({each})))"
-    windows = held.select("doc_id", "text_hash", F.explode_outer(F.expr(inside)).alias("x")).select("doc_id", "text_hash", "x.*")
+    each = ", ".join(f"transform({told_apart(f's.{name}')}, x -> struct(s.item_words AS item_words, x AS start, {flag} AS aligned, s.length AS length))" for name, flag in (("aligned", "true"), ("others", "false")))
+    # starts first, the shingles of one window at a time after that
+    windows = held.select("doc_id", "text_hash", "shingles", F.explode(F.expr(f"flatten(transform(spots, s -> concat({each})))")).alias("x"))
+    windows = windows.select("doc_id", "text_hash", "x.*", F.expr(f"slice(shingles, x.start + 1, x.length - {SHINGLE - 1})").alias("window_shingles"))
     # written down, lest each of the blocks works the fingerprint out anew
     windows = stage(counted(simhash(windows, "window_shingles", "print"), "window_shingles", "counted"), "windows")
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality
-
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Every window of an item's length that a shared shingle lines up with the item, compared by counts.
+#: Every window of an item's length in a document that shares a shingle with it, compared by counts. Of equal ones, those
+#: that a shared shingle lines up with the item come first.
 LEAKS = rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS w FROM documents
@@ -20,27 +19,33 @@ WITH docs AS (
   SELECT r, doc_id, len(w) AS m, unnest(generate_series(0, len(w) - 5)) AS p, w FROM docs WHERE len(w) >= 5
 ), shingles AS (
   SELECT r, doc_id, m, p, array_to_string(w[p + 1:p + 5], ' ') AS s FROM places
-), spots AS (
-  SELECT DISTINCT r, doc_id, item_id, n, greatest(0, least(p - q, m - least(n, m))) AS start, least(n, m) AS n_words
+), lined AS (
+  SELECT DISTINCT r, doc_id, item_id, m, least(n, m) AS n_words, n, greatest(0, least(p - q, m - least(n, m))) AS start
   FROM shingles JOIN item_shingles USING (s)
+), spots AS (
+  SELECT r, doc_id, item_id, n, n_words, m, start, bool_or(aligned) AS aligned FROM (
+    SELECT *, true AS aligned FROM lined
+    UNION ALL
+    SELECT r, doc_id, item_id, m, n_words, n, unnest(generate_series(0, m - n_words)), false
+    FROM (SELECT DISTINCT r, doc_id, item_id, m, n_words, n FROM lined)
+  ) GROUP BY ALL
 ), held AS (
-  SELECT x.r, x.doc_id, x.item_id, x.n, x.start, x.n_words, s.s, count(*) AS c
+  SELECT x.r, x.doc_id, x.item_id, x.n, x.start, x.n_words, x.aligned, s.s, count(*) AS c
   FROM spots x JOIN shingles s ON s.r = x.r AND s.p >= x.start AND s.p <= x.start + x.n_words - 5
   GROUP BY ALL
 ), wanted AS (
   SELECT item_id, s, count(*) AS c FROM item_shingles GROUP BY ALL
 ), compared AS (
-  SELECT r, doc_id, item_id, start, n_words, sum(least(h.c, coalesce(v.c, 0))) AS shared, sum(h.c) + any_value(h.n) - 4 AS sizes
-  FROM held h LEFT JOIN wanted v USING (item_id, s) GROUP BY r, doc_id, item_id, start, n_words
+  SELECT r, doc_id, item_id, start, n_words, aligned, sum(least(h.c, coalesce(v.c, 0))) AS shared, sum(h.c) + any_value(h.n) - 4 AS sizes
+  FROM held h LEFT JOIN wanted v USING (item_id, s) GROUP BY r, doc_id, item_id, start, n_words, aligned
 ), near AS (
   SELECT *, sizes - shared AS total FROM compared WHERE 100 * shared >= 75 * (sizes - shared)
 )
 SELECT doc_id, item_id, CAST(start AS INT) AS start, CAST(n_words AS INT) AS n_words, CAST(shared AS INT) AS shared,
        CAST(total AS INT) AS total, shared / total AS similarity
-FROM near QUALIFY row_number() OVER (PARTITION BY r, item_id ORDER BY shared / total DESC, start) = 1
+FROM near QUALIFY row_number() OVER (PARTITION BY r, item_id ORDER BY shared / total DESC, aligned DESC, start) = 1
 """
 
-_STRATUM = " + ".join(f"CAST(n_words >= {n} AS INT)" for n in quality.STRATA)
 _LENGTH = "least(200, 10 * word_chars // greatest(1, n_words))"
 _VALUES = {
     "symbols": "least(100, 100 * n_symbols // greatest(1, word_chars))",
@@ -51,7 +56,8 @@ _VALUES = {
 }
 _RULES = ", ".join(f"{{'rule': '{rule}', 'value': {value}}}" for rule, value in _VALUES.items())
 
-#: Measures, the cutoffs whose exact binomial bound holds on good labelled documents, and the verdicts.
+#: Measures, sets of cutoffs laid down on one half of the good labelled documents, the strictest one of each stratum whose
+#: exact binomial bound holds on the other half, and the verdicts.
 QUALITY = rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
@@ -74,23 +80,37 @@ WITH texts AS (
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
   FROM split LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
 ), scored AS (
-  SELECT *, {quality.BASE_FAILED} AS base_failed, {_STRATUM} AS stratum, unnest([{_RULES}], recursive := true) FROM measures
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CAST(n_words >= 100 AS INT) + CAST(n_words >= 300 AS INT) + CAST(n_words >= 1000 AS INT) AS stratum, unnest([{_RULES}], recursive := true) FROM measures
 ), good AS (
   SELECT doc_id FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
+), held AS (
+  SELECT *, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8' AS first
+  FROM scored WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)
 ), counts AS (
-  SELECT stratum, rule, value, count(*) AS n FROM scored WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY ALL
+  SELECT stratum, rule, value, count(*) AS n FROM held WHERE first GROUP BY ALL
 ), above AS (
   SELECT stratum, rule, value, sum(n) OVER (PARTITION BY stratum, rule) AS n,
          coalesce(sum(n) OVER (PARTITION BY stratum, rule ORDER BY value DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
   FROM counts
+), steps AS (
+  SELECT step, CASE WHEN step < 8 THEN CAST(0.01 AS DOUBLE) / power(2, step) ELSE 0 END AS part FROM (SELECT unnest(range(9)) AS step)
+), sets AS (
+  SELECT stratum, step, rule, min(value) AS cutoff FROM above, steps WHERE k <= part * n GROUP BY stratum, step, rule
+), sizes AS (
+  SELECT stratum, CAST(count(DISTINCT r) AS DOUBLE) AS n FROM held WHERE NOT first GROUP BY stratum
+), seen AS (
+  SELECT s.stratum, s.step, any_value(z.n) AS n, count(DISTINCT h.r) FILTER (h.value > s.cutoff) AS k
+  FROM sets s JOIN sizes z USING (stratum) JOIN held h ON h.stratum = s.stratum AND h.rule = s.rule AND NOT h.first GROUP BY s.stratum, s.step
 ), bounded AS (
-  SELECT stratum, rule, value, (
-    SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({quality.SHARE}) + (n - i) * ln(1 - {quality.SHARE})))
+  SELECT stratum, step, (
+    SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))
     FROM (SELECT CAST(unnest(generate_series(0, CAST(k AS BIGINT))) AS DOUBLE) AS i)
   ) AS chance
-  FROM above WHERE k < n * {quality.SHARE}
+  FROM seen WHERE k < n * 0.01
 ), cutoffs AS (
-  SELECT stratum, rule, min(value) AS cutoff FROM bounded WHERE chance <= {quality.RISK} / {quality.TESTS} GROUP BY stratum, rule
+  SELECT stratum, rule, cutoff FROM sets
+  JOIN (SELECT stratum, min(step) AS step FROM bounded WHERE chance <= 0.05 / 36 GROUP BY stratum) USING (stratum, step)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND count(cutoff) FILTER (value > cutoff) = 0 AS kept,
@@ -105,7 +125,8 @@ WITH pieces AS (
   SELECT row_number() OVER () AS p, lang, piece FROM (
     SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
     FROM documents)
 ), words AS (
   SELECT p, lang, unnest(w) AS w1, unnest(generate_series(1, len(w))) AS i

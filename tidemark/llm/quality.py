@@ -1,16 +1,18 @@
-"""Quality rules whose cutoffs limit how many good documents they reject.
+"""Quality rules whose cutoffs limit how many good documents they reject, all of them together.
 
 Everything here is DataFrame and SQL functions. A rule rejects documents whose measure lies above a cutoff
-(or, for lengths of words, below). Which cutoff is chosen on labelled documents, separately in each
-stratum of text lengths: for each rule and cutoff the good labelled documents it would reject are
-counted, and a cutoff is admissible if the exact binomial bound on the share of all good documents it
-rejects is at most ``share``. The bounds hold together with probability 1 - ``risk``: each is taken at ``risk``
-divided by the number of all cutoffs of all rules and strata (Bonferroni). Of the admissible cutoffs
-the strictest is used; where none is, for lack of labels, the rule rejects nothing.
+(or, for lengths of words, below). Cutoffs are chosen on labelled documents, separately in each stratum of text
+lengths, in two halves. On the first half, each of STEPS + 1 sets of cutoffs is laid down: a set holds, for every rule, the
+strictest cutoff that rejects at most ``share`` / 2**step of the good documents there, and the last one none. On the
+second half, which had no say in them, it is counted how many good documents each *whole set* rejects, by one rule or
+several. A set is admissible if the exact binomial bound on the share of all good documents it rejects is at most
+``share``. The bounds of all sets and strata hold together with probability 1 - ``risk``, each being taken at ``risk`` divided
+by their number (Bonferroni). The strictest admissible set is used; where none is, for lack of labels, the rules reject
+nothing.
 
 The labels count only here; measures never look at them. What is gathered is one count for each stratum,
-rule and cutoff, a fixed number. Null texts have no words and fail the base rules. Null and repeated labels:
-a document is good if all its non-null labels say so. A document without an id is judged like any other.
+rule and measure and one for each stratum and set, a fixed number. Null texts have no words and fail the base rules. Null
+and repeated labels: a document is good if all its non-null labels say so. A document without an id is judged like any other.
 """
 
 from __future__ import annotations
@@ -32,7 +34,11 @@ SHARE, RISK = 0.01, 0.05
 #: Repeated windows up to which each window is looked up in a list of them; beyond, windows are sorted.
 LISTED = 32
 
-TESTS = (len(STRATA) + 1) * sum(n + 1 for n in RULES.values())
+#: Sets of cutoffs besides the one that rejects no good document of the first half.
+STEPS = 8
+TESTS = (len(STRATA) + 1) * (STEPS + 1)
+#: Documents of the first half; the others are the second.
+FIRST_HALF = "substr(md5(CAST(CAST(doc_id AS STRING) AS BINARY)), 1, 1) < '8'"
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -100,21 +106,38 @@ def admissible(rejected: int, n: int, share: float, level: float) -> bool:
     return log + math.log(total) <= math.log(level)
 
 
+def laid_down(counts: list, share: float) -> dict[tuple[int, int], dict[str, int]]:
+    """By stratum and step: the cutoff of each rule, from (stratum, rule, value, rejected, n) of the first half."""
+    sets: dict[tuple[int, int], dict[str, int]] = {}
+    for row in sorted(counts, key=lambda r: -r["value"]):
+        # a cutoff between two measures that occur rejects what the lower one does
+        for step in range(STEPS + 1):
+            if row["rejected"] <= (share / 2**step if step < STEPS else 0) * row["n"]:
+                sets.setdefault((row["stratum"], step), {})[row["rule"]] = row["value"]
+    return sets
+
+
 def cutoffs(scored: DataFrame, labels: DataFrame, share: float = SHARE, risk: float = RISK) -> dict[tuple[int, str], int]:
     """By stratum and rule: the measure above which documents are rejected."""
     good = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
-    held = scored.where("NOT base_failed").join(good, "doc_id", "left_semi")
+    held = scored.where("NOT base_failed").join(good, "doc_id", "left_semi").select("stratum", *RULES, F.expr(FIRST_HALF).alias("first"))
     measured = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).cast("int").alias("value")) for r in RULES]))
-    counts = held.select("stratum", measured.alias("m")).groupBy("stratum", "m.rule", "m.value").agg(F.count("*").alias("n"))
+    counts = held.where("first").select("stratum", measured.alias("m")).groupBy("stratum", "m.rule", "m.value").agg(F.count("*").alias("n"))
     every = Window.partitionBy("stratum", "rule")
     above = every.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)
-    table = counts.select("stratum", "rule", "value", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("rejected"), F.sum("n").over(every).alias("n")).collect()
-    chosen: dict[tuple[int, str], int] = {}
-    for row in sorted(table, key=lambda r: -r["value"]):
-        # a cutoff between two measures that occur rejects what the lower one does
-        if admissible(row["rejected"], row["n"], share, risk / TESTS):
-            chosen[row["stratum"], row["rule"]] = row["value"]
-    return chosen
+    table = counts.select("stratum", "rule", "value", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("rejected"), F.sum("n").over(every).alias("n"))
+    sets = laid_down(table.collect(), share)
+    if not sets:
+        return {}
+    rejects = {k: " OR ".join(f"{rule} > {value}" for rule, value in of.items()) for k, of in sets.items()}
+    union = [F.count_if(F.expr(f"stratum = {s} AND ({rejects[s, step]})")).alias(f"r{s}_{step}") for s, step in sets]
+    sizes = [F.count_if(F.col("stratum") == s).alias(f"n{s}") for s in {s for s, _ in sets}]
+    seen = held.where("NOT first").agg(*union, *sizes).first()
+    chosen: dict[int, int] = {}
+    for s, step in sorted(sets, reverse=True):
+        if admissible(seen[f"r{s}_{step}"], seen[f"n{s}"], share, risk / TESTS):
+            chosen[s] = step
+    return {(s, rule): value for s, step in chosen.items() for rule, value in sets[s, step].items()}
 
 
 def judge(docs: DataFrame, labels: DataFrame, share: float = SHARE, risk: float = RISK) -> DataFrame:
