@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,7 @@ from tidemark.operators.posts import (
 )
 from tidemark.plans import jobs
 from tidemark.plans import snapshots as plans
+from tidemark.plans.daily import daily_features_sliding
 from tidemark.session import tune
 from tidemark.sources import readers, sinks
 from tidemark.streaming.snapshots import read_event_stream, stream_snapshots
@@ -376,6 +378,26 @@ def creator_features_all(f):
     )
 
 
+def _sliding(f, kind):
+    """A feature table of several dates, each from the sliding tables up to it."""
+    base, tables = f.sliding, []
+    for date in FEATURE_DATES:
+        seen = readers.sliding_table(f.spark, base, "seen", [date])
+        totals = readers.sliding_table(f.spark, base, "totals", sinks.dates_between(shift_day(date, -15), date))
+        tables.append(daily_features_sliding(f.posts, seen, totals, f.mapping, date)[kind].withColumn("date", F.lit(date)))
+    return reduce(DataFrame.unionByName, tables)
+
+
+@_query
+def eco_district_sliding(f):
+    return _sliding(f, "eco_district")
+
+
+@_query
+def creator_features_sliding(f):
+    return _sliding(f, "creator")
+
+
 # As-of matching and labels
 
 

@@ -31,8 +31,10 @@ from tidemark.operators.labels import create_labels
 from tidemark.operators.partials import post_partials, user_partials
 from tidemark.operators.posts import latest_posts, place_map, with_state
 from tidemark.plans.daily import daily_features
+from tidemark.plans.jobs import advance_day
 from tidemark.plans.snapshots import full_metrics, snapshot_full, window_events, with_rates
 from tidemark.session import shared_dir
+from tidemark.sources.readers import dates_between
 
 RUN_TS = 1_705_838_400_000  # 2024-01-21 12:00 UTC, 17:30 in the feed's zone
 PREV_RUN_TS = RUN_TS - 6 * HOUR_MS
@@ -315,6 +317,19 @@ class Fixtures:
             for kind in schemas.FEATURES
         }
 
+    @property
+    def sliding(self) -> str:
+        """Folder of the sliding tables, advanced date by date from the first date of the log on."""
+
+        def build() -> str:
+            self.events  # noqa: B018  (writes the log)
+            base = self.path("sliding")
+            for date in dates_between("2024-01-01", FEATURE_DATES[-1]):
+                advance_day(self.spark, self.path("events"), base, date)
+            return base
+
+        return self._once("sliding", build)
+
     @property
     def previous(self) -> DataFrame:
         """The snapshot of the run before, with some posts about to leave the window."""

@@ -100,6 +100,16 @@ def creator_features(
     started = initiates.filter(is_prior("event_time")).groupBy("post_id").agg(
         F.count(F.lit(1)).alias("_initiates")
     )
+    return creator_features_of(posts, per_post, started, ref, tz, keep_all)
+
+
+def creator_features_of(
+    posts: DataFrame, per_post: DataFrame, started: DataFrame, ref: str, tz: str = FEED_TZ, keep_all: bool = False
+) -> DataFrame:
+    """Creator features from counts per post: ``_views`` of both windows and ``_locks`` of the prior one, of posts with
+    views; ``_initiates`` of the prior one, of posts with initiates."""
+    bounds = window_bounds(ref, tz)
+    is_prior = lambda c: in_window(c, bounds.prior_start, bounds.prior_end)
     owners = posts.select("post_id", "creatorID", is_prior("created_ts").alias("_prior"))
     totals = (
         owners.join(per_post, "post_id")

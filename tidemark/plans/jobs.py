@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import schemas
+from tidemark import files, schemas
 from tidemark.counters import Counters, Entry, Part
 from tidemark.functions import day_ms, run_params, shift_day, window_bounds
 from tidemark.functions.dates import FEED_TZ
@@ -21,7 +21,7 @@ from tidemark.operators.labels import (
 )
 from tidemark.operators.posts import latest_posts, merge_posts
 from tidemark.operators.training import training_data
-from tidemark.plans.daily import daily_features
+from tidemark.plans.daily import advance_sliding, daily_features, daily_features_sliding
 from tidemark.plans.snapshots import snapshot_from_state, snapshot_full, snapshot_incremental
 from tidemark.session import drop_staged, shared_dir
 from tidemark.sources.readers import (
@@ -34,12 +34,14 @@ from tidemark.sources.readers import (
     read_event_files,
     read_events,
     read_snapshot,
+    sliding_table,
     snapshots_table,
 )
 from tidemark.sources.sinks import (
     dates_between,
     write_features,
     write_labels,
+    write_sliding,
     write_snapshot,
     write_training,
 )
@@ -160,6 +162,45 @@ def run_daily(
     return written
 
 
+def run_daily_sliding(
+    spark: SparkSession,
+    events_path: str,
+    dumps_path: str,
+    mapping: DataFrame,
+    base: str,
+    ref: str,
+    tz: str = FEED_TZ,
+    vocab: Vocabulary = VOCAB_A,
+) -> int:
+    """The four feature tables of a date from sliding tables beside ``base``. Returns how many dates of events were read: one.
+
+    Dates that are missing since the last run, or the two windows and a day before the first one, are made up for one by one.
+    A date run again replaces its own tables; run those after it again if its events have changed.
+    """
+    state = f"{base.rstrip('/')}_sliding"
+    wanted = dates_between(shift_day(ref, -15), ref)
+    done = [d for d in wanted[:-1] if files.present(spark, [f"{state}/totals/date={d}"])]
+    missing = [d for d in wanted if not done or d > done[-1]]
+    for date in missing:
+        advance_day(spark, events_path, state, date, tz, vocab)
+    bounds = window_bounds(ref, tz)
+    posts = latest_posts(read_dumps(spark, dumps_path, bounds.first_date, bounds.last_date))
+    seen, totals = sliding_table(spark, state, "seen", [ref]), sliding_table(spark, state, "totals", wanted)
+    for kind, rows in daily_features_sliding(posts, seen, totals, mapping, ref, tz).items():
+        write_features(rows, base, kind, ref)
+    return len(missing)
+
+
+def advance_day(
+    spark: SparkSession, events_path: str, state: str, date: str, tz: str = FEED_TZ, vocab: Vocabulary = VOCAB_A
+) -> None:
+    """Writes the sliding tables of a date; reads the events of that date and the tables of the one before."""
+    before = [sliding_table(spark, state, t, [shift_day(date, -1)]) for t in ("seen", "totals")]
+    tables = advance_sliding(*before, read_events(spark, events_path, date, date), date, tz, vocab=vocab)
+    for name, rows in zip(("seen", "totals"), tables, strict=True):
+        write_sliding(rows, state, name, date)
+
+
 def run_labels(
     spark: SparkSession,
     events_path: str,
@@ -213,4 +254,4 @@ def run_training(
     write_training(rows, base, tz, owned=dates_between(start, end))
 
 
-__all__ = ["run_daily", "run_labels", "run_snapshot", "run_training"]
+__all__ = ["run_daily", "run_daily_sliding", "run_labels", "run_snapshot", "run_training"]

@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructType
 from tidemark import files, schemas
 from tidemark.functions import ms_to_day, named, on_dates, run_params, shift_day, to_epoch_ms
 from tidemark.functions.dates import FEED_TZ
+from tidemark.operators.sliding import SEEN, TOTALS
 from tidemark.vocab import DUMP_EVENT
 
 
@@ -219,6 +220,16 @@ def features_table(
     return _dated(spark.read, "parquet", schemas.FEATURES[kind], path, start, end)
 
 
+def sliding_table(spark: SparkSession, base: str, table: str, dates: Iterable[str]) -> DataFrame:
+    """A sliding table at the end of some dates; a date that is missing has no rows."""
+    schema = {"seen": SEEN, "totals": TOTALS}[table]
+    base = f"{base.rstrip('/')}/{table}"
+    found = files.present(spark, [f"{base}/date={d}" for d in dict.fromkeys(dates)])
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*found)
+
+
 def as_table(df: DataFrame, name: str) -> DataFrame:
     """Registers a finished result under a name for SQL."""
     df.createOrReplaceTempView(name)

@@ -67,6 +67,11 @@ def write_features(df: DataFrame, base: str, kind: str, date: str) -> None:
     _folder(rows).parquet(f"{base.rstrip('/')}/{kind}/date={date}")
 
 
+def write_sliding(df: DataFrame, base: str, table: str, date: str) -> None:
+    """One date of a sliding table."""
+    _folder(df, "date").parquet(f"{base.rstrip('/')}/{table}/date={date}")
+
+
 def write_labels(df: DataFrame, base: str, owned: Iterable[str] | None = None) -> None:
     """Labels by the date of their view; ``owned`` names the dates the run answers for."""
     _replace_dates(df.select(*schemas.LABELS.fieldNames()), base, owned)
