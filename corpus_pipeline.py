@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, neardups, packing, spans, suffixes, toxicity
-from tidemark.llm.common import fold, stage, table
+from tidemark.llm.common import fold, stage, table, unused
 from tidemark.llm.queries import tokenizer
 
 
@@ -24,8 +24,9 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id and text hash are not in ``gone``. Both sides are shuffled at any size."""
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    doc, text_hash = unused(docs, "_doc", "_hash")
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text_hash)).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(text_hash))
     return docs.join(gone.hint("merge"), same, "left_anti")
 
 
