@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.files import until_exit
 from tidemark.session import shared_dir
 
 #: Separators of words as Java and RE2 expressions: ASCII white space only.
@@ -33,8 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def place(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that ``spark.checkpoint.dir`` names, shared by all executors."""
-    return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    """A new path in the folder that ``spark.checkpoint.dir`` names, shared by all executors. It is removed when the
+    application ends."""
+    return f"{until_exit(spark, f'{shared_dir(spark)}/llm-{uuid.uuid4().hex}')}/{name}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

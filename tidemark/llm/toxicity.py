@@ -40,7 +40,8 @@ from tidemark.llm.words import _BASE_2, NOT_ALNUM, Words, prints, slices, words_
 SAMPLE = 200_000
 #: Standard errors by which a listed word leans to toxic text, and documents it has to occur in.
 LEAN, LEAST_DOCS = 3.0, 3
-#: Log-odds that the lower end of a listed token's has to reach: lesser leanings add up in long clean texts.
+#: Log-odds that the lower end of a listed token's has to reach: lesser leanings add up in long clean texts. This and PRIOR
+#: were chosen on a part of the learning rows that was left out for that (crc32 of the id modulo 5 is 1).
 LEAST_ODDS = 2.0
 #: Documents the prior is worth, as a share of the toxic ones.
 PRIOR = 0.25
@@ -48,7 +49,7 @@ PRIOR = 0.25
 BEGINNINGS = (5, 6, 7, 8)
 #: Expected number of chance passages below which one is significant.
 SIGNIFICANT = 0.05
-#: Bins of evidence in which labelled documents are counted.
+#: Bins of evidence in which labelled documents are counted, and its value from which they share the last one.
 BINS, TOP = 200, 40.0
 
 SEGMENTS = "array<struct<start:int, n_words:int, score:double>>"
@@ -301,5 +302,5 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str) -> tuple[DataFrame, Mo
     model = fit_curve(rows, labels, model)
     if not np.isfinite(model.level):
         return rows.withColumn("score", F.lit(0.0)), model
-    power = F.lit(model.level) + F.lit(model.slope) * F.least("evidence", F.lit(TOP))
+    power = F.lit(model.level) + F.lit(model.slope) * F.col("evidence")
     return rows.withColumn("score", 1 / (1 + F.exp(-power))), model
