@@ -43,6 +43,8 @@ from tidemark.operators.events import (
     only_day0,
     parse_events,
 )
+from tidemark.operators.ingest import dump_rejects as ingest_dump_rejects
+from tidemark.operators.ingest import reject_counts
 from tidemark.operators.partials import post_partials
 from tidemark.operators.posts import (
     latest_posts,
@@ -115,6 +117,26 @@ def json_paths(f):
     )
 
 
+@_query
+def ingested_events(f):
+    return f.ingested.drop("unread")
+
+
+@_query
+def event_rejects(f):
+    return reject_counts(f.ingested)
+
+
+@_query
+def dump_rejects(f):
+    return reject_counts(ingest_dump_rejects(f.dumps))
+
+
+@_query
+def engagement_from_ingested(f):
+    return engagement.engagement_a(f.ingested, f.truthy_posts, SINCE)
+
+
 @_query
 def day0_users_since(f):
     return day0_users(f.events, SINCE)

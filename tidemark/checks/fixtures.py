@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import schemas
+from tidemark import files, schemas
 from tidemark.functions import (
     age_zero,
     floor_div,
@@ -27,6 +27,7 @@ from tidemark.functions import (
 from tidemark.functions.dates import FEED_TZ
 from tidemark.operators.asof import HOUR_MS
 from tidemark.operators.events import parse_events
+from tidemark.operators.ingest import ingest_events
 from tidemark.operators.labels import create_labels
 from tidemark.operators.partials import post_partials, user_partials
 from tidemark.operators.posts import latest_posts, place_map, with_state
@@ -176,7 +177,7 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._built: dict[str, DataFrame] = {}
-        self._home = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+        self._home = files.until_exit(spark, f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}")
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Fixtures:
@@ -341,6 +342,18 @@ class Fixtures:
 
         return self._stored("previous", build)
 
+    @property
+    def damaged(self) -> DataFrame:
+        """The event log with some payloads cut short and some missing."""
+        number, data = F.col("event_id").cast("bigint") % 97, F.col("data")
+        cut = F.when(number == 5, F.substring(data, 1, 20)).when(number == 6, F.lit("")).when(number != 7, data)
+        return self.events.withColumn("data", cut)
+
+    @property
+    def ingested(self) -> DataFrame:
+        """The log parsed once, at rest."""
+        return self._stored("ingested", lambda: ingest_events(self.damaged), "date")
+
     @property
     def no_metrics(self) -> DataFrame:
         """Metrics of no post."""

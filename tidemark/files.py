@@ -70,3 +70,11 @@ def delete(spark: SparkSession, path: str) -> None:
     """Removes a file or folder, if it is there."""
     at, store = _at(spark, path)
     store.delete(at, True)
+
+
+def until_exit(spark: SparkSession, folder: str) -> str:
+    """Makes a folder that is removed when the application ends."""
+    at, store = _at(spark, folder)
+    store.mkdirs(at)
+    store.deleteOnExit(at)
+    return folder

@@ -42,9 +42,12 @@ def parse_events(events: DataFrame, *fields: str) -> DataFrame:
     """Raw columns plus the named payload fields, from one JSON parse per event.
 
     Filter on raw columns before calling this: the parse is the costly step. Malformed
-    payloads give null fields.
+    payloads give null fields. Events that were parsed when they came in
+    (:mod:`tidemark.operators.ingest`) are not parsed again.
     """
     wanted = fields or tuple(_FIELDS)
+    if "data" not in events.columns:
+        return events.select(*[c for c in _RAW if c in events.columns], *wanted)
     needed = {_FIELDS[name][0] for name in wanted}
     schema = StructType([f for f in schemas.EVENT_PAYLOAD.fields if f.name in needed])
     raw = [c for c in _RAW if c in events.columns]
