@@ -266,7 +266,9 @@ def with_evidence(scanned: DataFrame, model: Model) -> DataFrame:
     expected = f"{model.scale!r}D * n_words * exp(-{model.decay!r}D * s.score)"
     passages = f"filter(transform(segments, s -> struct(s.start AS start, s.n_words AS n_words, s.score AS score, {expected} AS expected)), s -> s.expected < {SIGNIFICANT})"
     rows = scanned.withColumn("passages", F.expr(passages)).drop("segments")
-    return rows.withColumn("evidence", F.expr("aggregate(passages, 0D, (a, s) -> a - ln(s.expected))"))
+    # the logarithm of ``expected`` taken apart, since that is 0 in double precision for very high scores
+    evidence = f"aggregate(passages, 0D, (a, s) -> a + {model.decay!r}D * s.score - ln({model.scale!r}D * n_words))"
+    return rows.withColumn("evidence", F.expr(evidence))
 
 
 def fit_curve(rows: DataFrame, labels: DataFrame, model: Model) -> Model:
