@@ -512,6 +512,15 @@ def loo_counts(f):
     return leakage.loo_counts(_all_views(f), f.events, until=END)
 
 
+@_query
+def loo_counts_at_rest(f):
+    """The same rows, from the counts at rest and the events of the days alone: a week, then three shorter ranges."""
+    views, base, firsts = _all_views(f), f.prefixes, [START, "2024-01-15", "2024-01-20", END]
+    ranges = zip(firsts, [*(shift_day(d, -1) for d in firsts[1:]), END], strict=True)
+    parts = [jobs.views_with_others(f.spark, views, f.path("events"), base, a, b) for a, b in ranges]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Snapshots
 
 

@@ -32,7 +32,7 @@ from tidemark.operators.labels import create_labels
 from tidemark.operators.partials import post_partials, user_partials
 from tidemark.operators.posts import latest_posts, place_map, with_state
 from tidemark.plans.daily import daily_features
-from tidemark.plans.jobs import advance_day
+from tidemark.plans.jobs import advance_day, advance_prefixes
 from tidemark.plans.snapshots import full_metrics, snapshot_full, window_events, with_rates
 from tidemark.session import shared_dir
 from tidemark.sources.readers import dates_between
@@ -331,6 +331,20 @@ class Fixtures:
 
         return self._once("sliding", build)
 
+    @property
+    def prefixes(self) -> str:
+        """Folder of the counts at rest: seventeen days at once, then date by date."""
+
+        def build() -> str:
+            self.events  # noqa: B018  (writes the log)
+            base = self.path("prefixes")
+            advance_prefixes(self.spark, self.path("events"), base, "2024-01-01", "2024-01-17")
+            for date in dates_between("2024-01-18", "2024-01-20"):
+                advance_prefixes(self.spark, self.path("events"), base, date, date)
+            return base
+
+        return self._once("prefixes", build)
+
     @property
     def previous(self) -> DataFrame:
         """The snapshot of the run before, with some posts about to leave the window."""

@@ -79,6 +79,40 @@ def counted_events(vocab: Vocabulary = VOCAB_A) -> list[str]:
     return [vocab.seen, vocab.locked, vocab.initiate, *engaged]
 
 
+def marks_of(
+    events: DataFrame, measures: Mapping[str, Column] | None = None, vocab: Vocabulary = VOCAB_A
+) -> DataFrame:
+    """What each user did on each post at each time ``t``, counted by measure."""
+    parsed = parse_events(
+        events.filter(named(counted_events(vocab))), "post_id", "is_locked", "from_post"
+    ).filter(has_post() & F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
+    counts = [F.count_if(cond).alias(n) for n, cond in (measures or default_measures(vocab)).items()]
+    return parsed.withColumn("t", F.col("event_time")).groupBy("post_id", "user_id", "t").agg(*counts)
+
+
+def probes_of(views: DataFrame) -> DataFrame:
+    """Distinct views of a known user and post, with their time ``t``."""
+    return (
+        views.select("post_id", "user_id", F.col("view_time").alias("t"))
+        .filter(has_post() & F.col("user_id").isNotNull() & F.col("t").isNotNull())
+        .distinct()
+    )
+
+
+def others_before(own: DataFrame, everyone: DataFrame, probes: DataFrame, names: list[str]) -> DataFrame:
+    """Per probe, the marks of everyone on the post before it less the user's own."""
+    mine = counts_before(own, probes, ["post_id", "user_id"], names)
+    totals = counts_before(everyone, probes, ["post_id"], names)
+    totals = totals.select("post_id", "t", *[F.col(n).alias(f"_{n}") for n in names])
+    # The millisecond in the key divides a hot post.
+    return mine.join(totals, ["post_id", "t"]).select(
+        "user_id",
+        "post_id",
+        F.col("t").alias("view_time"),
+        *[(F.col(f"_{n}") - F.col(n)).alias(f"{n}_other_users") for n in names],
+    )
+
+
 def loo_counts(
     views: DataFrame,
     events: DataFrame,
@@ -93,31 +127,5 @@ def loo_counts(
     then starts from the same shuffled rows, which Spark reads once. ``until``, the date of the
     last view, bounds the scan.
     """
-    measures = measures or default_measures(vocab)
-    names = list(measures)
-    parsed = parse_events(
-        events.filter(named(counted_events(vocab)) & on_dates(None, until)),
-        "post_id",
-        "is_locked",
-        "from_post",
-    ).filter(has_post() & F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
-    marks = (
-        parsed.withColumn("t", F.col("event_time"))
-        .groupBy("post_id", "user_id", "t")
-        .agg(*[F.count_if(cond).alias(n) for n, cond in measures.items()])
-    )
-    probes = (
-        views.select("post_id", "user_id", F.col("view_time").alias("t"))
-        .filter(has_post() & F.col("user_id").isNotNull() & F.col("t").isNotNull())
-        .distinct()
-    )
-    own = counts_before(marks, probes, ["post_id", "user_id"], names)
-    everyone = counts_before(marks, probes, ["post_id"], names)
-    totals = everyone.select("post_id", "t", *[F.col(n).alias(f"_{n}") for n in names])
-    # The millisecond in the key divides a hot post.
-    return own.join(totals, ["post_id", "t"]).select(
-        "user_id",
-        "post_id",
-        F.col("t").alias("view_time"),
-        *[(F.col(f"_{n}") - F.col(n)).alias(f"{n}_other_users") for n in names],
-    )
+    marks = marks_of(events.filter(on_dates(None, until)), measures, vocab)
+    return others_before(marks, marks, probes_of(views), list(measures or default_measures(vocab)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,6 +21,7 @@ from tidemark.operators.labels import (
     scan_conversions,
 )
 from tidemark.operators.posts import latest_posts, merge_posts
+from tidemark.operators.prefixes import KEYS, blocks, daily_counts, loo_counts_on
 from tidemark.operators.training import training_data
 from tidemark.plans.daily import advance_sliding, daily_features, daily_features_sliding
 from tidemark.plans.snapshots import snapshot_from_state, snapshot_full, snapshot_incremental
@@ -30,6 +32,8 @@ from tidemark.sources.readers import (
     is_cold_start,
     labels_table,
     latest_run,
+    prefix_range,
+    prefix_table,
     read_dumps,
     read_event_files,
     read_events,
@@ -41,6 +45,7 @@ from tidemark.sources.sinks import (
     dates_between,
     write_features,
     write_labels,
+    write_prefixes,
     write_sliding,
     write_snapshot,
     write_training,
@@ -201,6 +206,48 @@ def advance_day(
         write_sliding(rows, state, name, date)
 
 
+def advance_prefixes(
+    spark: SparkSession, events_path: str, base: str, first: str, last: str, vocab: Vocabulary = VOCAB_A
+) -> None:
+    """Writes the counts at rest (:mod:`tidemark.operators.prefixes`) of a range of dates, in one pass over its events.
+
+    The range begins the counts or follows on what is there. A range that was counted before is written again, for late
+    events; dates after it then have to be counted again too, and are no longer offered until they are.
+    """
+    known = prefix_range(spark, base)
+    since, done = known or (first, shift_day(first, -1))
+    if not since <= first <= shift_day(done, 1):
+        raise ValueError(f"counts at rest hold {since} to {done}; {first} neither lies in them nor follows")
+    # Blocks of the range and after it do not count while they are rewritten.
+    before, ends = shift_day(first, -1), f"{base.rstrip('/')}/dates.json"
+    if known is None or first <= done:
+        files.write(spark, ends, json.dumps([since, before]))
+    events = read_events(spark, events_path, before, shift_day(last, 1))
+    day = daily_counts(events, first, last, vocab=vocab)
+    names = [c for c in day.columns if c not in ("post_id", "user_id", "date")]
+    for table, keys in KEYS.items():
+        new = day.groupBy(*keys, "date").agg(*[F.sum(n).alias(n) for n in names]) if table == "by_post" else day
+        stored = prefix_table(spark, base, table, before)
+        write_prefixes(blocks(new, stored, keys, since, first, last), base, table, dates_between(first, last))
+    files.write(spark, ends, json.dumps([since, last]))
+
+
+def views_with_others(
+    spark: SparkSession,
+    views: DataFrame,
+    events_path: str,
+    base: str,
+    date: str,
+    last: str | None = None,
+    vocab: Vocabulary = VOCAB_A,
+) -> DataFrame:
+    """Leave-one-out counts of the views of a UTC day, or of the days from ``date`` to ``last``, from the counts at rest up to the
+    day before and the events of these days."""
+    before = {table: prefix_table(spark, base, table, shift_day(date, -1)) for table in KEYS}
+    events = read_events(spark, events_path, shift_day(date, -1), shift_day(last or date, 1))
+    return loo_counts_on(views, events, before, date, last, vocab=vocab)
+
+
 def run_labels(
     spark: SparkSession,
     events_path: str,

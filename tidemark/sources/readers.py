@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructType
 from tidemark import files, schemas
 from tidemark.functions import ms_to_day, named, on_dates, run_params, shift_day, to_epoch_ms
 from tidemark.functions.dates import FEED_TZ
+from tidemark.operators import prefixes
 from tidemark.operators.sliding import SEEN, TOTALS
 from tidemark.vocab import DUMP_EVENT
 
@@ -230,6 +231,30 @@ def sliding_table(spark: SparkSession, base: str, table: str, dates: Iterable[st
     return spark.read.schema(schema).option("basePath", base).parquet(*found)
 
 
+def prefix_range(spark: SparkSession, base: str) -> tuple[str, str] | None:
+    """First and last date of the counts at rest under ``base``; None before the first."""
+    path = f"{base.rstrip('/')}/dates.json"
+    return tuple(json.loads(files.read_text(spark, path))) if files.present(spark, [path]) else None
+
+
+def prefix_table(spark: SparkSession, base: str, table: str, until: str) -> DataFrame:
+    """Blocks of counts at rest that together hold all dates up to ``until``; opens no other date.
+
+    Dates before the first have no rows. LookupError if ``until`` is past the last date counted.
+    """
+    schema, known = prefixes.table_schema(table), prefix_range(spark, base)
+    if known is None:
+        raise LookupError(f"no counts at rest under {base}")
+    since, last = known
+    if until > last and until >= since:
+        raise LookupError(f"counts at rest end with {last}, {until} was asked for")
+    root = f"{base.rstrip('/')}/{table}"
+    found = files.present(spark, [f"{root}/date={d}" for d in prefixes.blocks_up_to(until, since)])
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*found)
+
+
 def as_table(df: DataFrame, name: str) -> DataFrame:
     """Registers a finished result under a name for SQL."""
     df.createOrReplaceTempView(name)

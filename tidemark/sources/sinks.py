@@ -72,6 +72,11 @@ def write_sliding(df: DataFrame, base: str, table: str, date: str) -> None:
     _folder(df, "date").parquet(f"{base.rstrip('/')}/{table}/date={date}")
 
 
+def write_prefixes(df: DataFrame, base: str, table: str, owned: Iterable[str]) -> None:
+    """Blocks of counts at rest that end on the ``owned`` dates."""
+    _replace_dates(df, f"{base.rstrip('/')}/{table}", owned)
+
+
 def write_labels(df: DataFrame, base: str, owned: Iterable[str] | None = None) -> None:
     """Labels by the date of their view; ``owned`` names the dates the run answers for."""
     _replace_dates(df.select(*schemas.LABELS.fieldNames()), base, owned)
