@@ -5,7 +5,8 @@ all, and a repeated task replaces its own. A file row is a block of whole docume
 (``doc_ids``, little-endian int64), numbers of ids (``lengths``, uint32) and ``payload``, in which
 id k takes bits ``k * width`` to ``(k + 1) * width - 1``, lowest bit first. A block says which shard it
 is in, how many ids of the shard are before it, and its number of ids; with the sums of the shards
-this gives every id's place in the whole, so a reader opens just the blocks it needs.
+this gives every id's place in the whole. A reader of some ids gives bounds of shard and first id, which Parquet compares with
+its statistics, and reads the payload of no other row groups and pages (:func:`blocks_at`).
 
 Order is that of ``doc_id`` (nulls first; rows of one id by a hash of their text). Null text is
 empty; a document without words holds the end id alone. An empty table gives no blocks.
@@ -144,17 +145,38 @@ def read_digest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path).select("shard", "first", "n_ids", "n_docs", "width", "doc_ids", "lengths", "payload").mapInArrow(rows, DIGEST)
 
 
+def blocks_at(spark: SparkSession, path: str, start: int, count: int) -> DataFrame | None:
+    """Blocks that hold the ids ``start`` .. ``start + count - 1``, with the number of ids before each (``at``); None if none does.
+
+    The payload is read where shard and first id lie in bounds that Parquet compares with the statistics of row groups and pages.
+    The bounds come from the places of blocks in the shards asked for, without their payload.
+    """
+    starts, end = shard_starts(spark, path), start + count
+    order = [*starts, None]
+    # a shard's ids end where the next one's begin; what is asked for is in all shards between two
+    inside = [s for s, after in zip(order, order[1:], strict=False) if starts[s] < end and (after is None or starts[after] > start)]
+    if not inside or count <= 0:
+        return None
+    blocks = spark.read.schema(BLOCKS).parquet(path)
+    # Only the first shard is entered in its middle, and only the last one left there.
+    one, last = inside[0], inside[-1]
+    shard, first = F.col("shard"), F.col("first")
+    entered = blocks.where((shard == one) & (first <= max(0, start - starts[one]))).agg(F.max("first")).first()[0]
+    after, before = first >= entered, first < end - starts[last]
+    if one == last:
+        wanted = (shard == one) & after & before
+    else:
+        wanted = shard.between(one, last) & ((shard > one) | after) & ((shard < last) | before)
+    base = F.element_at(F.create_map(*[F.lit(x) for s in inside for x in (s, starts[s])]), F.col("shard"))
+    return blocks.where(wanted).select("width", "n_ids", "payload", (base + F.col("first")).alias("at"))
+
+
 def read_ids(spark: SparkSession, path: str, start: int, count: int) -> np.ndarray:
     """Ids ``start`` .. ``start + count - 1`` of the whole, from the blocks that hold them; ``count`` is for the
     caller to keep small. Places outside the files hold nothing."""
-    starts = shard_starts(spark, path)
-    inside = [s for s, b in starts.items() if b < start + count]
-    base = F.element_at(F.create_map(*[F.lit(x) for s in inside for x in (s, starts[s])]), F.col("shard")) if inside else F.lit(None)
-    at = (base + F.col("first")).alias("at")
-    blocks = spark.read.schema(BLOCKS).parquet(path).select("width", "n_ids", "payload", at)
-    found = blocks.where((F.col("at") < start + count) & (F.col("at") + F.col("n_ids") > start)).orderBy("at").collect()
-    out = [np.empty(0, np.uint32)]
-    for row in found:
+    found, out = blocks_at(spark, path, start, count), [np.empty(0, np.uint32)]
+    for row in found.orderBy("at").collect() if found is not None else ():
         a, b = max(0, start - row["at"]), min(row["n_ids"], start + count - row["at"])
-        out.append(unpack_bits(row["payload"], row["width"], a, b - a))
+        if a < b:
+            out.append(unpack_bits(row["payload"], row["width"], a, b - a))
     return np.concatenate(out)
