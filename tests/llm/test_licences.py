@@ -16,6 +16,11 @@ def brute(text):
     return len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))
 
 
+def brute_words(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
 def test_base_columns_and_notices(spark):
     rows = corpus(5)
     lines = [t for _, t, _ in licences.TEMPLATES]
@@ -56,6 +61,36 @@ def test_several_notices_and_long_texts_of_index_words(spark):
         assert any(x.label == name and x.share == 1 for x in by[6000 + k].notices), (name, by[6000 + k].notices)
 
 
+def test_words_put_in_or_left_out(spark):
+    """Each longer notice with words put in, or put in and left out, away from its key phrase, is found once; those whose
+    places before or behind alone agree well enough are listed without the words on the other side."""
+    rows, want = [], {}
+    for k, (label, line, phrases) in enumerate(licences.TEMPLATES):
+        words = line.split()
+        if len(words) < 15:
+            continue
+        behind = {"gpl-2.0": 15, "lgpl": 15, "isc": 10}.get(label, 9)
+        forms = {"in": words[:behind] + ["truly"] + words[behind:], "twice": words[:behind] + ["very", "truly"] + words[behind:], "both": words[:behind] + ["truly"] + words[behind:-3] + words[-2:]}
+        for j, form in enumerate(forms.values()):
+            text = " ".join(form)
+            low = " ".join(brute_words(text))
+            if not any(p in low for p in phrases):
+                continue
+            rows.append((10 * k + j, f"some words before\n{text}\nand some after it", None, None, None))
+            want[10 * k + j] = (label, 3, brute(text)[0])
+    rows.append((5000, " ".join(sorted({w for _, t, _ in licences.TEMPLATES for w in t.split()})) * 3, None, None, None))
+    rows.append((5001, "license " * 30_000, None, None, None))
+    by = {r.doc_id: r for r in licences.notices(frame(spark, rows)).collect()}
+    assert len({label for label, *_ in want.values()}) >= 5
+    for d, (label, start, n) in want.items():
+        found = [(x.start, x.n_words) for x in by[d].notices if x.label == label]
+        assert label in by[d].labels.split(",") and 0.8 <= by[d].score <= 1, (d, label, found)
+        assert 1 <= len(found) <= [x for x, _, _ in licences.TEMPLATES].count(label), (d, label, found)
+        at, length = max(found, key=lambda x: x[1])
+        assert start <= at and at + length <= start + n and length >= n - 4, (d, label, found, n)
+    assert by[5000].score == 0 and by[5001].score == 0
+
+
 def test_empty_table(spark):
     assert licences.notices(frame(spark, [])).count() == 0
 

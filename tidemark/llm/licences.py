@@ -7,8 +7,10 @@
    at place p with a posting at place q lines the template up at p - q; postings are intersected by
    this relative place, and a template is a candidate where two or more of its places agree.
 4. A candidate is verified: one of the template's key phrases has to stand inside it, word by word, and
-   the weights of the words at their places have to reach ``AGREE`` of the template's. Notices are listed
-   by place, the longer first where two begin together.
+   the weights of the words at their places have to reach ``AGREE`` of the template's. Where they do not, words may have
+   been put in or left out: the heaviest common sequence of the template and the words around, ``GAP`` more on either side,
+   has to reach it instead, unless the same template was found there already. Notices are listed by place, the longer
+   first where two begin together.
 
 Words are runs of 0-9, a-z (A-Z made small) and non-ASCII characters. Phrases of ``PHRASES`` give the base
 labels wherever they stand; templates add labels of their own. The score is the best share of a verified
@@ -55,6 +57,8 @@ TEMPLATES = [
 #: Words of a template in the index, at most; half of its distinct words where that is fewer.
 INDEXED = 8
 AGREE = 0.8
+#: Words by which a notice may be displaced within itself.
+GAP = 4
 RESULT = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double,"
     " notices array<struct<label:string, start:int, n_words:int, share:double>>"
@@ -114,6 +118,15 @@ def _candidates(prints: np.ndarray, words: Words, index: Index) -> np.ndarray:
     return rows[votes >= 2]
 
 
+def _common(text: np.ndarray, weight: np.ndarray, window: np.ndarray) -> tuple[float, int]:
+    """Weight of the heaviest common sequence of words, and the words of the window up to its end."""
+    best = np.zeros(len(window) + 1)
+    for word, w in zip(text, weight, strict=True):
+        longer = np.where(window == word, best[:-1] + w, 0)
+        best[1:] = np.maximum.accumulate(np.maximum(best[1:], longer))
+    return float(best[-1]), int(np.argmax(best == best[-1]))
+
+
 def _scan(batches: Iterator[pa.RecordBatch], index: Index, labels: list[str]) -> Iterator[pa.RecordBatch]:
     phrases = [(_words(p), label) for p, label in PHRASES.items()]
     for batch in batches:
@@ -132,21 +145,41 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, labels: list[str]) ->
                     base[d].add(label)
             score, notices = np.zeros(n), [[] for _ in range(n)]
             known: dict[bytes, np.ndarray] = {}
-            for template, start, d in _candidates(prints, words, index).tolist() if len(prints) else ():
-                text, weight = index.templates[template], index.weights[template]
-                a, b = max(start, words.first[d]), min(start + len(text), words.first[d + 1])
-                share = float(weight[a - start : b - start][prints[a:b] == text[a - start : b - start]].sum() / weight.sum())
-                if share < AGREE:
-                    continue
+            def phrase_inside(template: int, a: int, b: int) -> bool:
                 for phrase in index.phrases[template]:
                     key = phrase.tobytes()
                     if key not in known:
                         known[key] = _places(prints, words, phrase)
                     i = np.searchsorted(known[key], a)
                     if i < len(known[key]) and known[key][i] + len(phrase) <= b:
-                        notices[d].append({"label": labels[template], "start": int(a - words.first[d]), "n_words": int(b - a), "share": share})
-                        score[d] = max(score[d], min(1.0, share))
-                        break
+                        return True
+                return False
+
+            def note(template: int, d: int, a: int, b: int, share: float) -> None:
+                notices[d].append({"label": labels[template], "start": int(a - words.first[d]), "n_words": int(b - a), "share": share})
+                score[d] = max(score[d], min(1.0, share))
+                taken.setdefault((template, d), []).append((a, b))
+
+            taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            displaced = []
+            for template, start, d in _candidates(prints, words, index).tolist() if len(prints) else ():
+                text, weight = index.templates[template], index.weights[template]
+                a, b = max(start, words.first[d]), min(start + len(text), words.first[d + 1])
+                share = float(weight[a - start : b - start][prints[a:b] == text[a - start : b - start]].sum() / weight.sum())
+                if share < AGREE:
+                    displaced.append((template, d, max(start - GAP, words.first[d]), min(start + len(text) + GAP, words.first[d + 1])))
+                elif phrase_inside(template, a, b):
+                    note(template, d, a, b, share)
+            for template, d, a, b in displaced:
+                if any(x < b and a < y for x, y in taken.get((template, d), ())) or not phrase_inside(template, a, b):
+                    continue
+                text, weight = index.templates[template], index.weights[template]
+                found, length = _common(text, weight, prints[a:b])
+                if found >= AGREE * weight.sum():
+                    end = a + length
+                    begin = end - _common(text[::-1], weight[::-1], prints[a:end][::-1])[1]
+                    if phrase_inside(template, begin, end):
+                        note(template, d, begin, end, float(found / weight.sum()))
             own = [",".join(sorted(x)) for x in base]
             every = [",".join(sorted(x | {y["label"] for y in z})) for x, z in zip(base, notices, strict=True)]
             for found in notices:
