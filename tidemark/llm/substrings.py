@@ -177,22 +177,22 @@ def _row(bucket: int, found: bool, blob: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([found]), pa.array([blob], pa.binary())], ["bucket", "found", "blob"])
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[bytes]]]:
-    """Blobs of strings and of spans of one bucket after another; rows come sorted by bucket."""
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
+    """One bucket after another with its blobs of strings and of spans; rows come sorted by bucket."""
     now, strings, found = None, [], []
     for batch in batches:
         for bucket, done, blob in zip(*(x.to_pylist() for x in batch.columns), strict=True):
             if bucket != now and (strings or found):
-                yield strings, found
+                yield now, strings, found
                 strings, found = [], []
             now = bucket
             (found if done else strings).append(blob)
     if strings or found:
-        yield strings, found
+        yield now, strings, found
 
 
 def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for strings, found in _by_bucket(batches):
+    for _, strings, found in _by_bucket(batches):
         for blob in found:
             yield _spans(*_unpack(blob, 4)[0])
         if not strings:
