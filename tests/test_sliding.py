@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.functions import on_dates, shift_day, window_bounds
 from tidemark.operators.events import initiates, locks
 from tidemark.operators.posts import latest_posts
-from tidemark.operators.sliding import SEEN, TOTALS, advance_seen, advance_totals, prior_counts
+from tidemark.operators.sliding import SEEN, TOTALS, advance_seen, advance_totals, prior_counts, seen_over, totals_over
 from tidemark.plans import jobs
 from tidemark.plans.daily import daily_features, daily_features_sliding
 from tidemark.sources import readers
@@ -71,6 +71,45 @@ def test_equals_windows_over_all_events(spark, log, tz):
     assert prior_counts(every.limit(0), ref, tz).count() == 0
 
 
+@pytest.mark.parametrize(("tz", "known"), [("Asia/Kolkata", 0), ("America/New_York", 5)])
+def test_a_range_in_one_pass_equals_its_dates(spark, log, tz, known):
+    """With posts that leave after three dates and begin anew, and with tables of the dates before or none."""
+    first, last = shift_day(max(e[-1] for e in log), -11), shift_day(max(e[-1] for e in log), 1)
+    quiet = [e for e in log if "p5" not in e[2] or e[-1] > shift_day(first, 8) or e[-1] < shift_day(first, 3)]
+    table = {"seen": spark.createDataFrame([], SEEN), "totals": spark.createDataFrame([], TOTALS)}
+    want, start = {"seen": [], "totals": []}, shift_day(first, known)
+    before = dict(table)
+    for date in readers.dates_between(first, last):
+        day = event_frame(spark, [e for e in quiet if e[-1] == date])
+        new = {"seen": advance_seen(table["seen"], locks(day), date, tz), "totals": advance_totals(table["totals"], locks(day), initiates(day), date, tz, idle=3)}
+        table = {k: spark.createDataFrame(df.collect(), df.schema) for k, df in new.items()}
+        if date < start:
+            before = dict(table)
+        else:
+            for k, df in table.items():
+                want[k] += rows(df.fillna("-"), *sorted(df.columns))
+    events = event_frame(spark, [e for e in quiet if start <= e[-1] <= last])
+    got = {
+        "seen": seen_over(before["seen"], locks(events), start, last, tz),
+        "totals": totals_over(before["totals"], locks(events), initiates(events), start, last, tz, idle=3),
+    }
+    for k, df in got.items():
+        assert sorted(rows(df.fillna("-"), *sorted(df.columns)), key=str) == sorted(want[k], key=str), k
+    assert known or len({r["since"] for r in got["totals"].filter("post_id = 'p5'").collect()}) > 1
+
+
+def test_missing_dates_are_read_together(spark, log, tmp_path, monkeypatch):
+    ref = shift_day(max(e[-1] for e in log), -1)
+    event_frame(spark, log).write.partitionBy("date").parquet(str(tmp_path / "events"))
+    dump_frame(spark, dumps([ref])).write.partitionBy("event_name", "date").parquet(str(tmp_path / "dumps"))
+    mapping = spark.createDataFrame([("d1", "One", "North", "s1")], schemas.PLACE_MAP)
+    asked = []
+    real = jobs.read_events
+    monkeypatch.setattr(jobs, "read_events", lambda s, p, a, b: asked.append((a, b)) or real(s, p, a, b))
+    assert jobs.run_daily_sliding(spark, str(tmp_path / "events"), str(tmp_path / "dumps"), mapping, str(tmp_path / "sliding"), ref) == 16
+    assert asked == [(shift_day(ref, -15), ref)]
+
+
 def test_a_day_reads_one_date_of_events(spark, log, tmp_path, monkeypatch):
     ref = shift_day(max(e[-1] for e in log), -1)
     event_frame(spark, log).write.partitionBy("date").parquet(str(tmp_path / "events"))

@@ -1,4 +1,4 @@
-from tidemark.functions.dates import RunParams, WindowBounds, day_ms, run_params, shift_day, window_bounds
+from tidemark.functions.dates import RunParams, WindowBounds, dates_between, day_ms, run_params, shift_day, window_bounds
 from tidemark.functions.predicates import (
     age_zero,
     before,
