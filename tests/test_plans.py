@@ -8,9 +8,10 @@ from test_snapshots import post_frame, random_log
 
 import __spark_entry__ as contract
 from tidemark.operators import engagement as en
-from tidemark.operators.events import day0_users
+from tidemark.operators.events import day0_users, initiates, locks
 from tidemark.operators.labels import create_labels
-from tidemark.operators.leakage import loo_counts
+from tidemark.operators.leakage import loo_counts, marks_of
+from tidemark.operators.partials import post_partials, user_partials
 from tidemark.plans.snapshots import snapshot_full
 from tidemark.sources import readers
 
@@ -45,6 +46,11 @@ def test_dates_names_and_columns_reach_the_scan(log):
     assert set(re.findall(r"(\w+):", schema)) == {"event_time", "data", "event_name"}
 
 
+@pytest.mark.parametrize("operator", [locks, initiates, post_partials, user_partials, marks_of])
+def test_a_payload_is_parsed_once(log, operator):
+    assert operator(log)._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_counts_are_combined_before_the_shuffle(log):
     text = plan(day0_users(log))
     assert text.count("HashAggregate") == 2 and text.index("Exchange") > text.index("HashAggregate")
