@@ -8,6 +8,7 @@ at or after a run wait for the next one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from tidemark.functions import run_params, shift_day
 from tidemark.functions.dates import FEED_TZ
 from tidemark.operators.partials import post_partials, user_partials
 from tidemark.plans.snapshots import snapshot_from_state
+from tidemark.session import drop_staged
 from tidemark.sources.sinks import write_snapshot
 from tidemark.vocab import VOCAB_A, Vocabulary
 
@@ -37,7 +39,7 @@ def new_events(batch: DataFrame, counters: Counters, head: Entry | None) -> Data
     Ids are kept by event date; only those of the batch's own dates are read.
     """
     rows = batch.dropDuplicates(["date", "event_id"])
-    dates = sorted(r["date"] for r in rows.select("date").distinct().collect() if r["date"] is not None)
+    dates = sorted(r["date"] for r in batch.select("date").distinct().collect() if r["date"] is not None)
     if head is None or not dates:
         return rows
     seen = counters.read("ids", head, dates[0], dates[-1]).filter(F.col("date").isin(dates))
@@ -129,11 +131,14 @@ def stream_snapshots(
         counters = Counters(spark, state_dir)
         head = counters.head()
         if head is None or batch_id > head.batch:
-            fresh = new_events(batch, counters, head).persist()
+            # Four tables are counted from the batch, each from few of its columns and kinds of events.
+            staged = f"{state_dir.rstrip('/')}/batches/{uuid.uuid4().hex}"
             try:
+                new_events(batch, counters, head).write.parquet(staged)
+                fresh = spark.read.schema(batch.schema).parquet(staged)
                 count_batch(counters, head, fresh, batch_id, run_ts, oldest, vocab, ids=True)
             finally:
-                fresh.unpersist()
+                drop_staged(spark, staged)
         # Event dates may be those of another zone, up to a day ahead of the run's.
         state = read_state(spark, state_dir, oldest, shift_day(today, 1))
         snapshot = snapshot_from_state(state, posts_at(run_ts), run_ts, mapping, days, tz)
