@@ -210,3 +210,17 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     want = sn.advance_state(None, batch)
     assert by_post.groupBy().sum("locks").first()[0] == 2 * want[0].groupBy().sum("locks").first()[0]
     assert by_user.groupBy().sum("trials").first()[0] == 2 * want[1].groupBy().sum("trials").first()[0]
+
+
+def test_a_batch_is_staged_and_its_staged_rows_go(spark, tmp_path, mapping, monkeypatch):
+    event_frame(spark, [lock(i, T0 - i, "u1", "p1") for i in range(3)]).write.parquet(str(tmp_path / "in"))
+    plans, real = [], st.count_batch
+    seen = lambda c, h, events, *a, **k: plans.append(events._jdf.queryExecution().optimizedPlan().toString()) or real(c, h, events, *a, **k)
+    monkeypatch.setattr(st, "count_batch", seen)
+    writer = st.stream_snapshots(
+        st.read_event_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "check"),
+        lambda run_ts: post_frame(spark, 2), mapping, lambda batch_id: T0,
+    )
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert plans and not any("InMemory" in p for p in plans)
+    assert not list((tmp_path / "state" / "batches").iterdir())
