@@ -83,6 +83,15 @@ def test_leave_one_out_reads_events_and_views_once(spark, log):
     assert text.count("ReusedExchange") >= 4
 
 
+def test_leave_one_out_lays_points_out_once(spark, log):
+    views = log.filter("event_name = 'feed_locked'").selectExpr(
+        "user_id", "get_json_object(data, '$.postId') post_id", "event_time view_time"
+    )
+    text = executed(spark, lambda: loo_counts(views, log))
+    # events, views, pairs on both sides; by user and by post: points, totals of slices twice; both sides of the last join
+    assert len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange hashpartitioning", re.sub(r"ReusedExchange.*", "", text))) <= 12
+
+
 def test_labels_join_on_keys_only(spark, log):
     snapshots = spark.createDataFrame(
         [("p0", 1_704_950_000_000, "2024-01-11")], "post_id string, run_ts bigint, date string"

@@ -95,6 +95,22 @@ def test_a_day_reads_its_own_events_and_few_blocks(spark, tmp_path):
         assert {d for t, d in folders if t == table} <= set(prefixes.blocks_up_to(days[-2], days[0]))
 
 
+def test_counts_by_post_come_from_those_by_user(spark, tmp_path, monkeypatch):
+    base, path, read = str(tmp_path / "rest"), str(tmp_path / "events"), {}
+    event_frame(spark, _log(random.Random(2), 200)).write.partitionBy("date").parquet(path)
+    write = jobs.write_prefixes
+
+    def noted(rows, base, table, owned):
+        read[table] = rows.inputFiles()
+        write(rows, base, table, owned)
+
+    monkeypatch.setattr(jobs, "write_prefixes", noted)
+    days = sorted(p.name.removeprefix("date=") for p in (tmp_path / "events").glob("date=*"))
+    jobs.advance_prefixes(spark, path, base, days[0], days[-1])
+    assert any("/events/" in f for f in read["by_user"])
+    assert read["by_post"] and all("/rest/by_user/" in f for f in read["by_post"])
+
+
 def test_empty_tables(spark, tmp_path):
     path = str(tmp_path / "events")
     event_frame(spark, []).write.parquet(path)
