@@ -12,7 +12,7 @@ from tidemark.operators.events import day0_users, initiates, locks
 from tidemark.operators.labels import create_labels
 from tidemark.operators.leakage import loo_counts, marks_of
 from tidemark.operators.partials import post_partials, user_partials
-from tidemark.plans.snapshots import snapshot_full
+from tidemark.plans.snapshots import full_metrics, snapshot_full
 from tidemark.sources import readers
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "ExistingRDD")
@@ -74,6 +74,10 @@ def test_snapshot_reads_the_log_once_for_posts_and_once_for_users(spark, log):
     assert len(re.findall(r"FileScan parquet", text)) == 2
 
 
+def test_conversions_copy_no_users(spark, log):
+    assert "_salt" not in plan(full_metrics(log))
+
+
 def test_leave_one_out_reads_events_and_views_once(spark, log):
     views = log.filter("event_name = 'feed_locked'").selectExpr(
         "user_id", "get_json_object(data, '$.postId') post_id", "event_time view_time"
