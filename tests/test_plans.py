@@ -7,6 +7,7 @@ from frames import event_frame
 from test_snapshots import post_frame, random_log
 
 import __spark_entry__ as contract
+from tidemark.checks.fixtures import Fixtures
 from tidemark.operators import engagement as en
 from tidemark.operators.events import day0_users, initiates, locks
 from tidemark.operators.labels import create_labels
@@ -78,6 +79,14 @@ def test_conversions_copy_no_users(spark, log):
     assert "_salt" not in plan(full_metrics(log))
 
 
+def test_the_grid_of_labels_is_that_of_the_series_without_its_counts(spark, sf_dir):
+    tables = Fixtures(spark, sf_dir)
+    grid = tables.grid
+    assert "series" not in tables._built
+    assert sorted(map(tuple, grid.collect())) == sorted(map(tuple, tables.series.select(*grid.columns).collect()))
+    assert "series" in tables._built and "/series" in tables.grid.inputFiles()[0]
+
+
 def test_leave_one_out_reads_events_and_views_once(spark, log):
     views = log.filter("event_name = 'feed_locked'").selectExpr(
         "user_id", "get_json_object(data, '$.postId') post_id", "event_time view_time"
